@@ -18,7 +18,9 @@ from assaymill.operators.joins import skew_join
 from assaymill.operators.ranking import SMALL_ROWS, with_tiles
 from assaymill.session import materialize
 
-N = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _delivered(orders: DataFrame, *columns: str) -> DataFrame:
@@ -49,7 +51,7 @@ def _product_month_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
         )
         .groupBy("product_id", "year", "month")
         .agg(
-            N.alias("n"),
+            _rows().alias("n"),
             F.sum(cents("price")).alias("price_cents"),
             F.sum(cents("freight_value")).alias("freight_cents"),
         )
@@ -90,7 +92,7 @@ def top_products_per_category(
             items.select("order_id", "product_id", "price"), _delivered(orders), "order_id"
         )
         .groupBy("product_id")
-        .agg(N.alias("units_sold"), F.sum(cents("price")).alias("price_cents"))
+        .agg(_rows().alias("units_sold"), F.sum(cents("price")).alias("price_cents"))
     )
     best = Window.partitionBy("product_category_name").orderBy(
         F.col("price_cents").desc(), F.col("product_id").asc()
@@ -112,7 +114,7 @@ def top_products_per_category(
 def kpi_price_volume(items: DataFrame, products: DataFrame) -> DataFrame:
     """Units, mean price and revenue per category and price band, over all items."""
     per_product = items.groupBy("product_id", price_band("price").alias("price_bucket")).agg(
-        N.alias("n"), F.sum(cents("price")).alias("price_cents")
+        _rows().alias("n"), F.sum(cents("price")).alias("price_cents")
     )
     n, revenue = F.sum("n"), F.sum("price_cents")
     return (
@@ -130,14 +132,14 @@ def kpi_price_volume(items: DataFrame, products: DataFrame) -> DataFrame:
 def price_volume_corr(items: DataFrame, products: DataFrame) -> DataFrame:
     """Correlation of a product's mean price with its units sold, per category."""
     per_product = items.groupBy("product_id").agg(
-        N.alias("n"), F.sum(cents("price")).alias("price_cents")
+        _rows().alias("n"), F.sum(cents("price")).alias("price_cents")
     )
     mean_price = from_cents("price_cents") / F.col("n")
     return (
         per_product.join(_categories(products), "product_id", "left")
         .groupBy("product_category_name")
         .agg(
-            N.alias("products"),
+            _rows().alias("products"),
             F.corr(mean_price, F.col("n").cast("double")).alias("price_volume_corr"),
         )
     )
@@ -156,7 +158,7 @@ def customer_rfm_base(orders: DataFrame, payments: DataFrame, reference_date: st
             F.datediff(
                 F.to_date(F.lit(reference_date)), F.max("order_purchase_timestamp")
             ).alias("recency_days"),
-            N.alias("frequency"),
+            _rows().alias("frequency"),
             F.sum(F.coalesce("total_cents", F.lit(0))).alias("monetary_cents"),
         )
     )
@@ -205,7 +207,7 @@ def kpi_new_vs_returning(orders: DataFrame, customers: DataFrame | None = None)
     person = F.col("customer_id")
     monthly = _delivered(orders, "customer_id", "year", "month").groupBy(
         "customer_id", "year", "month"
-    ).agg(N.alias("n"))
+    ).agg(_rows().alias("n"))
     if customers is not None:
         monthly = monthly.join(
             customers.select("customer_id", "customer_unique_id"), "customer_id", "left"
@@ -220,7 +222,7 @@ def kpi_new_vs_returning(orders: DataFrame, customers: DataFrame | None = None)
             "customer_type", F.when(lifetime > 1, "Returning").otherwise("New")
         )
         .groupBy("year", "month", "customer_type")
-        .agg(F.sum("n").alias("orders"), N.alias("unique_customers"))
+        .agg(F.sum("n").alias("orders"), _rows().alias("unique_customers"))
         .withColumn("pct_of_monthly_orders", share_of_total("orders", ["year", "month"]))
     )
 
@@ -231,13 +233,13 @@ def customer_monthly_ticket(orders: DataFrame, payments: DataFrame) -> DataFrame
         _delivered(orders, "customer_id", "year", "month")
         .join(order_totals(payments), "order_id", "inner")
         .groupBy("customer_id", "year", "month")
-        .agg(N.alias("n"), F.sum("total_cents").alias("total_cents"))
+        .agg(_rows().alias("n"), F.sum("total_cents").alias("total_cents"))
         .withColumn("ticket_cents", ratio(F.col("total_cents"), F.col("n")).cast("bigint"))
     )
     return monthly.groupBy("customer_id").agg(
-        N.alias("active_months"),
+        _rows().alias("active_months"),
         F.sum("n").alias("total_orders"),
-        mean_amount(F.sum("ticket_cents"), N).alias("avg_monthly_ticket_brl"),
+        mean_amount(F.sum("ticket_cents"), _rows()).alias("avg_monthly_ticket_brl"),
     )
 
 
@@ -253,7 +255,7 @@ def kpi_revenue_by_region(
         .join(order_totals(payments), "order_id", "inner")
         .groupBy("customer_id", "year", "month")
         .agg(
-            N.alias("n"),
+            _rows().alias("n"),
             F.sum("total_cents").alias("total_cents"),
             F.sum("delivery_days").alias("days"),
             F.count("delivery_days").alias("timed"),
@@ -287,7 +289,7 @@ def kpi_payment_methods(payments: DataFrame, orders: DataFrame) -> DataFrame:
         )
         .groupBy("payment_type", "year", "month")
         .agg(
-            N.alias("transaction_count"),
+            _rows().alias("transaction_count"),
             from_cents(value).alias("total_value_brl"),
             mean_amount(value, F.count("payment_value")).alias("avg_transaction_brl"),
             ratio(
@@ -306,7 +308,7 @@ def daily_weather(weather: DataFrame) -> DataFrame:
     by_category = weather.groupBy(
         date_key("datetime_utc").alias("date_key"), "year", "month", "weather_category"
     ).agg(
-        N.alias("n"),
+        _rows().alias("n"),
         F.sum("temperature_celsius").alias("temp"),
         F.count("temperature_celsius").alias("temp_n"),
         F.sum(F.col("humidity_pct").cast("bigint")).alias("humidity"),
@@ -331,7 +333,7 @@ def daily_orders(orders: DataFrame) -> DataFrame:
     return (
         _delivered(orders, "order_purchase_timestamp", "year", "month")
         .groupBy(date_key("order_purchase_timestamp").alias("date_key"), "year", "month")
-        .agg(N.alias("total_orders"))
+        .agg(_rows().alias("total_orders"))
     )
 
 
@@ -353,7 +355,7 @@ def weather_condition_revenue(
         _delivered(orders, "order_purchase_timestamp", "year", "month")
         .join(order_totals(payments), "order_id", "left")
         .groupBy(date_key("order_purchase_timestamp").alias("date_key"), "year", "month")
-        .agg(N.alias("n"), F.sum("total_cents").alias("total_cents"))
+        .agg(_rows().alias("n"), F.sum("total_cents").alias("total_cents"))
     )
     return (
         daily.join(daily_weather(weather), ["date_key", "year", "month"], "left")
@@ -361,7 +363,7 @@ def weather_condition_revenue(
             temperature_class("avg_temp_c").alias("weather_condition"), "dominant_weather"
         )
         .agg(
-            N.alias("days"),
+            _rows().alias("days"),
             F.sum("n").alias("total_orders"),
             from_cents(F.sum("total_cents")).alias("total_revenue_brl"),
         )

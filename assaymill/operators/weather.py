@@ -38,10 +38,6 @@ RECORD_DDL = """
   wind STRUCT<speed: DOUBLE>, rain STRUCT<`1h`: DOUBLE>,
   weather ARRAY<STRUCT<main: STRING, description: STRING>>
 """
-_RECORD = T.StructType.fromDDL(RECORD_DDL)
-PAYLOAD_SCHEMA = T.StructType(
-    [*_RECORD.fields, T.StructField("list", T.ArrayType(_RECORD))]
-)
 
 
 def flatten_weather_json(df: DataFrame, payload: str = "payload", keep: list[str] = ()) -> DataFrame:
@@ -50,8 +46,10 @@ def flatten_weather_json(df: DataFrame, payload: str = "payload", keep: list[str
     A document is either one record or holds an array ``list`` of records; both give one row
     per record, with the nested value preferred over the flat one.
     """
-    doc = F.from_json(F.col(payload), PAYLOAD_SCHEMA)
-    single = F.struct(*[F.col("_doc")[f.name].alias(f.name) for f in _RECORD.fields])
+    record = T.StructType.fromDDL(RECORD_DDL)
+    schema = T.StructType([*record.fields, T.StructField("list", T.ArrayType(record))])
+    doc = F.from_json(F.col(payload), schema)
+    single = F.struct(*[F.col("_doc")[name].alias(name) for name in record.fieldNames()])
     records = df.select(*keep, doc.alias("_doc")).select(
         *keep, F.explode_outer(F.coalesce(F.col("_doc.list"), F.array(single))).alias("_r")
     )

@@ -616,7 +616,7 @@ def bronze_row_counts(x: Inputs) -> DataFrame:
 
 @query
 def observed_schema(x: Inputs) -> DataFrame:
-    return validation.observed_schema({t: x.table(t) for t in SOURCE_TABLES if t != "embeddings"})
+    return validation.observed_schema({t: x.table(t) for t in SOURCE_TABLES})
 
 
 @query
