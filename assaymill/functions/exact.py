@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def cents(c: str | Column) -> Column:
-    """A two-decimal amount as whole cents; NULL stays NULL."""
+    """A finite two-decimal amount as whole cents; NULL stays NULL.
+
+    ``floor`` compiles to plain arithmetic, while ``round`` of a double goes through decimals.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).try_cast("bigint")
+    return F.floor(c * 100 + 0.5)
 
 
 def from_cents(c: str | Column) -> Column:

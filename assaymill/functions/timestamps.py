@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # The text formats found in the raw layer.
 ISO_MILLIS_LENGTH = len("2017-10-02T10:56:33.000Z")
-SPACED_WITH_OFFSET = "yyyy-MM-dd HH:mm:ss Z[ 'UTC']"
-ISO_WITH_ZONE = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]X"
+SPACED_LENGTH = len("2017-10-02 01:00:00 +0000")
+SPACED_SUFFIX = " UTC"
 
 
 def _col(c: str | Column) -> Column:
@@ -36,9 +36,21 @@ def parse_weather_time(text: str | Column, epoch: str | Column | None = None) ->
     Accepts ``2017-10-02 01:00:00 +0000``, the same with a trailing `` UTC``, and ISO-8601.
     """
     text = _col(text)
-    parsed = F.when(
-        F.substring(text, 11, 1) == "T", F.try_to_timestamp(text, F.lit(ISO_WITH_ZONE))
-    ).otherwise(F.try_to_timestamp(text, F.lit(SPACED_WITH_OFFSET)))
+    is_spaced = (F.substring(text, 20, 1) == " ") & (
+        (F.length(text) == SPACED_LENGTH)
+        | ((F.length(text) == SPACED_LENGTH + len(SPACED_SUFFIX)) & text.endswith(SPACED_SUFFIX))
+    )
+    # The offset as the cast expects it: +0000 -> +00:00.
+    spaced = F.concat(
+        F.substring(text, 1, 19),
+        F.substring(text, 21, 3),
+        F.lit(":"),
+        F.substring(text, 24, 2),
+    )
+    is_iso = (F.substring(text, 11, 1) == "T") & text.endswith("Z")
+    parsed = F.when(is_spaced, spaced.try_cast("timestamp")).when(
+        is_iso, text.try_cast("timestamp")
+    )
     if epoch is None:
         return parsed
     return F.coalesce(parsed, F.timestamp_seconds(_col(epoch)))

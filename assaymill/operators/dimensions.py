@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from assaymill.functions.labels import southern_season
 from assaymill.functions.timestamps import date_key
 from assaymill.operators.clean import newest_version, normalize_string_columns, require_keys
-from assaymill.operators.joins import broadcast_join
 
 PRODUCT_MEASURES = [
     "product_name_length", "product_description_length", "product_photos_qty",
@@ -83,7 +82,8 @@ def build_dim_products(raw: DataFrame, translation: DataFrame | None = None) ->
         .groupBy("product_category_name")
         .agg(F.min("product_category_name_english").alias("_english"))
     )
-    return broadcast_join(df, names, "product_category_name").select(
+    # Catalyst broadcasts the names while they are small, by its own size check.
+    return df.join(names, "product_category_name", "left").select(
         "product_id",
         F.coalesce("_english", "product_category_name").alias("product_category_name"),
         *PRODUCT_MEASURES,

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaymill.session import MB
+from assaymill.operators.clean import require_keys
+from assaymill.session import MB, literal_rows
 
 BROADCAST_LIMIT_BYTES = 50 * MB
 # Below this much input one task can take a whole key; looking for heavy keys would not pay.
@@ -49,8 +50,11 @@ def broadcast_join(
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate; good enough to decide whether a check is worth a job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate before optimization, which errs on the high side.
+
+    It only decides whether looking for heavy keys is worth a job, never what is broadcast.
+    """
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def heavy_keys(df: DataFrame, key: str, share: float) -> list:
@@ -93,20 +97,49 @@ def skew_join(
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` to append: key set, one per key, key not yet in ``target``."""
-    fresh = incoming.dropna(subset=list(keys)).dropDuplicates(list(keys))
+    fresh = require_keys(incoming, keys).dropDuplicates(list(keys))
     return fresh.join(target.select(*keys), list(keys), "left_anti")
 
 
-def count_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Rows of ``child`` whose foreign key has no parent, as one row ``(rows, orphans)``.
+def count_orphans(
+    tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """Child rows and orphans per ``(child, fk, parent)``; the parent's key has the fk's name.
 
-    Child rows are counted per key first, so a hot key crosses the shuffle as one row.
+    Child rows are counted per key first, so a hot key crosses the shuffle as one row. All
+    references to one parent share a single join.
     """
-    per_key = child.dropna(subset=[fk]).groupBy(F.col(fk).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    known = parent.select(F.col(pk).alias("_key"), F.lit(True).alias("_known")).dropDuplicates()
-    return per_key.join(known, "_key", "left").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("orphans"),
+    by_parent: dict[tuple[str, str], list[DataFrame]] = {}
+    for child, fk, parent in references:
+        per_key = (
+            require_keys(tables[child].select(fk), [fk])
+            .groupBy(F.col(fk).alias("_key"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .select(F.lit(child).alias("child"), "_key", "_n")
+        )
+        by_parent.setdefault((parent, fk), []).append(per_key)
+    parts = []
+    for (parent, fk), children in by_parent.items():
+        known = (
+            tables[parent]
+            .select(F.col(fk).alias("_key"))
+            .dropDuplicates()
+            .withColumn("_known", F.lit(True))
+        )
+        parts.append(
+            reduce(DataFrame.unionByName, children)
+            .join(known, "_key", "left")
+            .groupBy("child")
+            .agg(
+                F.sum("_n").alias("child_rows"),
+                F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("orphans"),
+            )
+            .select("child", F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
+                    "child_rows", "orphans")
+        )
+    found = reduce(DataFrame.unionByName, parts)
+    spark = found.sparkSession
+    asked = literal_rows(spark, ["child", "fk", "parent"], list(references))
+    return asked.join(found, ["child", "fk", "parent"], "left").na.fill(
+        0, ["child_rows", "orphans"]
     )

@@ -306,7 +306,7 @@ def kpi_payment_methods(payments: DataFrame, orders: DataFrame) -> DataFrame:
 def daily_weather(weather: DataFrame) -> DataFrame:
     """Weather per day; the dominant category is the most frequent one, then by name."""
     by_category = weather.groupBy(
-        date_key("datetime_utc").alias("date_key"), "year", "month", "weather_category"
+        F.to_date("datetime_utc").alias("day"), "year", "month", "weather_category"
     ).agg(
         _rows().alias("n"),
         F.sum("temperature_celsius").alias("temp"),
@@ -320,19 +320,26 @@ def daily_weather(weather: DataFrame) -> DataFrame:
     rarest_last = F.when(
         F.col("weather_category").isNotNull(), F.struct(-F.col("n"), "weather_category")
     )
-    return by_category.groupBy("date_key", "year", "month").agg(
+    daily = by_category.groupBy("day", "year", "month").agg(
         F.round(F.try_divide(F.sum("temp"), F.sum("temp_n")), 2).alias("avg_temp_c"),
         ratio(F.sum("humidity"), F.sum("humidity_n"), 1).alias("avg_humidity_pct"),
         F.round(F.try_divide(F.sum("wind"), F.sum("wind_n")), 2).alias("avg_wind_ms"),
         F.round(F.sum("rain"), 2).alias("total_rain_mm"),
         F.min_by("weather_category", rarest_last).alias("dominant_weather"),
     )
+    return _keyed_by_day(daily)
+
+
+def _keyed_by_day(daily: DataFrame) -> DataFrame:
+    """Replace ``day`` by its text key, once per day instead of once per row."""
+    rest = [c for c in daily.columns if c != "day"]
+    return daily.select(date_key("day").alias("date_key"), *rest)
 
 
 def daily_orders(orders: DataFrame) -> DataFrame:
-    return (
+    return _keyed_by_day(
         _delivered(orders, "order_purchase_timestamp", "year", "month")
-        .groupBy(date_key("order_purchase_timestamp").alias("date_key"), "year", "month")
+        .groupBy(F.to_date("order_purchase_timestamp").alias("day"), "year", "month")
         .agg(_rows().alias("total_orders"))
     )
 
@@ -351,10 +358,10 @@ def weather_condition_revenue(
     orders: DataFrame, payments: DataFrame, weather: DataFrame
 ) -> DataFrame:
     """Orders and revenue per temperature class and dominant weather."""
-    daily = (
+    daily = _keyed_by_day(
         _delivered(orders, "order_purchase_timestamp", "year", "month")
         .join(order_totals(payments), "order_id", "left")
-        .groupBy(date_key("order_purchase_timestamp").alias("date_key"), "year", "month")
+        .groupBy(F.to_date("order_purchase_timestamp").alias("day"), "year", "month")
         .agg(_rows().alias("n"), F.sum("total_cents").alias("total_cents"))
     )
     return (

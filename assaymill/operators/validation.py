@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from assaymill.session import literal_rows
 from assaymill.sources.loads import read_if_exists
 from assaymill.sources.schemas import TOOL_COLUMN_PREFIX, RawTable, types_compatible
 from assaymill.sources.tables import file_listing
@@ -162,12 +163,8 @@ def validate_source(
                     ).alias("detail"),
                 )
             )
-        parts.append(
-            spark.createDataFrame(
-                [(name, c, ok, d) for c, ok, d in checks],
-                "table_name string, check_name string, passed boolean, detail string",
-            )
-        )
+        columns = ["table_name", "check_name", "passed", "detail"]
+        parts.append(literal_rows(spark, columns, [(name, *check) for check in checks]))
     return _union(parts)
 
 

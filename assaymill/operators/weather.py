@@ -122,7 +122,7 @@ def build_weather_enriched(
     Of several readings for a key the one with the highest values, compared column by column,
     stays, so a re-run picks the same row.
     """
-    df = weather_projection(raw).dropna(subset=["datetime_utc"])
+    df = weather_projection(raw).filter(F.col("datetime_utc").isNotNull())
     order = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
     return latest_by_key(df, keys, order)
 
@@ -134,7 +134,7 @@ def conform_weather(df: DataFrame) -> DataFrame:
     """
     time = F.col("datetime_utc")
     return (
-        df.dropna(subset=["temp"])
+        df.filter(F.col("temp").isNotNull())
         .withColumn("datetime_utc", parse_weather_time("dt_iso", "dt"))
         .select(
             F.col("dt").alias("unix_timestamp"),

@@ -13,7 +13,7 @@ from assaymill.functions.labels import price_band
 from assaymill.functions.exact import from_cents
 from assaymill.operators import clean, dimensions, facts, joins, kpis, quality, ranking
 from assaymill.operators import validation, weather
-from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, table_path
+from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, source_table, table_path
 from assaymill.session import materialize, scratch_path
 from assaymill.sources import loads, tables
 from assaymill.sources.schemas import RAW_TABLES, RawTable
@@ -35,7 +35,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(table_path(self.sf_dir, name))
+        return source_table(self.spark, self.sf_dir, name)
 
     def raw(self, name: str) -> DataFrame:
         return raw_view(self.spark, self.sf_dir, name)
@@ -394,20 +394,8 @@ def fk_orphans(x: Inputs) -> DataFrame:
         ("order_payments", "order_id", "orders"),
         ("order_reviews", "order_id", "orders"),
     ]
-    parts = [
-        joins.count_orphans(x.raw(child), fk, x.raw(parent), fk).select(
-            F.lit(child).alias("child"),
-            F.lit(fk).alias("fk"),
-            F.lit(parent).alias("parent"),
-            "child_rows",
-            "orphans",
-        )
-        for child, fk, parent in references
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    names = {name for child, _, parent in references for name in (child, parent)}
+    return joins.count_orphans({name: x.raw(name) for name in names}, references)
 
 
 @query
@@ -680,15 +668,16 @@ def weather_messages(stream: DataFrame) -> DataFrame:
         F.lit(weather.DEFAULT_LAT).alias("lat"),
         F.lit(weather.DEFAULT_LON).alias("lon"),
         F.when(F.col("user_id") % 17 != 0, F.floor(F.col("value") * 10) / 120 - 5).alias("temp"),
-        F.when(F.col("user_id") % 13 == 0, F.lit("damp"))
-        .otherwise((F.col("user_id") % 100).cast("string"))
-        .alias("humidity"),
         (F.floor("value") / 50).alias("wind_speed"),
         F.col("event_type").alias("weather_main"),
         F.upper("event_type").alias("weather_description"),
     )
-    # A number in quotes is not an integer to the decoder, so the digits are unquoted here.
-    document = F.regexp_replace(F.to_json(event), r'"humidity":"(\d+)"', r'"humidity":$1')
+    humidity = F.when(F.col("user_id") % 13 == 0, F.lit('"damp"')).otherwise(
+        (F.col("user_id") % 100).cast("string")
+    )
+    document = F.concat(
+        F.rtrim(F.to_json(event), F.lit("}")), F.lit(',"humidity":'), humidity, F.lit("}")
+    )
     broken = F.col("user_id") % 19 == 0
     return stream.select(
         "event_id",

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MB = 1024 * 1024
 
@@ -72,6 +73,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/assaymill/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def literal_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """A handful of constant rows that Catalyst sees as literals, without a Python stage."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 

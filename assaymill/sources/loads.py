@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaymill.operators.clean import blank_to_null
+from assaymill.operators.clean import blank_to_null, require_keys
 from assaymill.operators.joins import insert_if_absent
 
 CORRUPT = "_corrupt_record"
@@ -52,9 +52,10 @@ def load_csv(
     rows = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     existing = read_if_exists(spark, target)
     if keys:
-        rows = rows.dropna(subset=list(keys)).dropDuplicates(list(keys)) if existing is None else (
-            insert_if_absent(existing, rows, keys)
-        )
+        if existing is None:
+            rows = require_keys(rows, keys).dropDuplicates(list(keys))
+        else:
+            rows = insert_if_absent(existing, rows, keys)
     rows.write.mode("append").parquet(target)
 
 

@@ -41,13 +41,16 @@ def decode_events(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
     A field of the wrong type becomes NULL. A document with no readable field at all is
     malformed; ``raw`` holds its text.
     """
-    text = F.col(value).cast("string")
     fields = EVENT_SCHEMA.fieldNames()
-    decoded = df.select(*keep, text.alias("raw"), F.from_json(text, EVENT_SCHEMA).alias("_data"))
-    nothing = F.coalesce(*[F.col("_data")[f].cast("string") for f in fields]).isNull()
+    # As a generator the parser runs once per document; as a plain expression it would be
+    # copied into every field access and every filter that is pushed below it.
+    decoded = df.select(*keep, F.col(value).cast("string").alias("raw")).select(
+        "*", F.inline(F.array(F.from_json("raw", EVENT_SCHEMA)))
+    )
+    nothing = F.coalesce(*[F.col(f).cast("string") for f in fields]).isNull()
     return decoded.select(
         *keep,
-        *[F.col("_data")[f].alias(f) for f in fields],
+        *fields,
         nothing.alias(MALFORMED),
         F.when(nothing, F.col("raw")).alias("raw"),
     )
