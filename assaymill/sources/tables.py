@@ -70,18 +70,23 @@ def scan_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 @contextmanager
-def _advisory_size(spark: SparkSession, mb: int):
-    """Let AQE size the rebalanced partitions of one write."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, str(mb * MB))
+def _file_sizing(spark: SparkSession, mb: int):
+    """Let AQE size the rebalanced partitions of one write by bytes, not by core count."""
+    wanted = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(mb * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def repartition_for_write(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
@@ -109,7 +114,7 @@ def write_table(
         writer = writer.partitionBy(*partition_cols)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    with _advisory_size(df.sparkSession, target_file_mb):
+    with _file_sizing(df.sparkSession, target_file_mb):
         writer.parquet(path)
 
 
