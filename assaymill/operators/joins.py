@@ -15,8 +15,8 @@ from assaymill.session import MB, literal_rows
 BROADCAST_LIMIT_BYTES = 50 * MB
 # Below this much input one task can take a whole key; looking for heavy keys would not pay.
 SKEW_CHECK_BYTES = 1024 * MB
-HEAVY_KEYS_TRACKED = 10_000
-HEAVY_KEYS_MAX = 64
+HEAVY_KEYS_TRACKED = 65_536
+HEAVY_KEYS_MAX = 2_048
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -76,7 +76,7 @@ def skew_join(
     unique: DataFrame,
     key: str,
     how: str = "inner",
-    share: float = 0.02,
+    share: float = 1 / HEAVY_KEYS_MAX,
     check_bytes: int = SKEW_CHECK_BYTES,
 ) -> DataFrame:
     """Join ``big`` to a frame with one row per key although some keys of ``big`` are hot.

@@ -35,6 +35,20 @@ def _categories(products: DataFrame) -> DataFrame:
     return products.select("product_id", "product_category_name")
 
 
+def order_values(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Delivered orders with the amount paid in cents, NULL where nothing was paid.
+
+    The common input of all KPIs about customers, regions and days: a job that computes
+    several of them can store it once.
+    """
+    columns = ["customer_id", "order_purchase_timestamp", "year", "month", "delivery_days"]
+    return _delivered(orders, *columns).join(order_totals(payments), "order_id", "left")
+
+
+def _paid(values: DataFrame) -> DataFrame:
+    return values.filter(F.col("total_cents").isNotNull())
+
+
 def share_of_total(part: str, over: list[str], digits: int = 2) -> Column:
     """Percentage of ``part`` in its sum over the groups ``over``."""
     total = F.sum(part).over(Window.partitionBy(*over))
@@ -148,35 +162,29 @@ def price_volume_corr(items: DataFrame, products: DataFrame) -> DataFrame:
 # --- customers ---------------------------------------------------------------------------
 
 
-def customer_rfm_base(orders: DataFrame, payments: DataFrame, reference_date: str) -> DataFrame:
+def customer_rfm_base(values: DataFrame, reference_date: str) -> DataFrame:
     """Recency, frequency and monetary value per customer over delivered orders."""
-    return (
-        _delivered(orders, "customer_id", "order_purchase_timestamp")
-        .join(order_totals(payments), "order_id", "left")
-        .groupBy("customer_id")
-        .agg(
-            F.datediff(
-                F.to_date(F.lit(reference_date)), F.max("order_purchase_timestamp")
-            ).alias("recency_days"),
-            _rows().alias("frequency"),
-            F.sum(F.coalesce("total_cents", F.lit(0))).alias("monetary_cents"),
-        )
+    return values.groupBy("customer_id").agg(
+        F.datediff(F.to_date(F.lit(reference_date)), F.max("order_purchase_timestamp")).alias(
+            "recency_days"
+        ),
+        _rows().alias("frequency"),
+        F.sum(F.coalesce("total_cents", F.lit(0))).alias("monetary_cents"),
     )
 
 
-def kpi_customer_rfm(
-    orders: DataFrame,
-    payments: DataFrame,
+def rfm_segments(
+    values: DataFrame,
     reference_date: str = "2018-10-17",
     best_is_five: bool = True,
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """RFM quintile scores and segments.
+    """RFM quintile scores and segments from ``order_values``.
 
     ``best_is_five`` gives the best customers score 5, so that high sums mean good customers.
     Without it the best customers get tile 1, as when the tiles run best first.
     """
-    base = materialize(customer_rfm_base(orders, payments, reference_date), "rfm")
+    base = materialize(customer_rfm_base(values, reference_date), "rfm")
     worst_first = {
         "_r": -F.col("recency_days"),
         "_f": F.col("frequency"),
@@ -197,6 +205,12 @@ def kpi_customer_rfm(
     )
 
 
+def kpi_customer_rfm(
+    orders: DataFrame, payments: DataFrame, reference_date: str = "2018-10-17", **options
+) -> DataFrame:
+    return rfm_segments(order_values(orders, payments), reference_date, **options)
+
+
 def kpi_new_vs_returning(orders: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Orders and customers per month, split by whether the customer ordered more than once.
 
@@ -227,11 +241,13 @@ def kpi_new_vs_returning(orders: DataFrame, customers: DataFrame | None = None)
     )
 
 
-def customer_monthly_ticket(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Per customer: active months, orders, and the mean over months of the mean ticket."""
+def monthly_ticket(values: DataFrame) -> DataFrame:
+    """Per customer: active months, paid orders, and the mean over months of the mean ticket.
+
+    A month's ticket is an amount of money and as such rounded to cents.
+    """
     monthly = (
-        _delivered(orders, "customer_id", "year", "month")
-        .join(order_totals(payments), "order_id", "inner")
+        _paid(values)
         .groupBy("customer_id", "year", "month")
         .agg(_rows().alias("n"), F.sum("total_cents").alias("total_cents"))
         .withColumn("ticket_cents", ratio(F.col("total_cents"), F.col("n")).cast("bigint"))
@@ -243,16 +259,17 @@ def customer_monthly_ticket(orders: DataFrame, payments: DataFrame) -> DataFrame
     )
 
 
+def customer_monthly_ticket(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    return monthly_ticket(order_values(orders, payments))
+
+
 # --- regions, payments -------------------------------------------------------------------
 
 
-def kpi_revenue_by_region(
-    orders: DataFrame, payments: DataFrame, customers: DataFrame
-) -> DataFrame:
-    """Orders, revenue, mean order value and delivery time per state and month."""
+def regional_revenue(values: DataFrame, customers: DataFrame) -> DataFrame:
+    """Paid orders, revenue, mean order value and delivery time per state and month."""
     per_customer = (
-        _delivered(orders, "customer_id", "year", "month", "delivery_days")
-        .join(order_totals(payments), "order_id", "inner")
+        _paid(values)
         .groupBy("customer_id", "year", "month")
         .agg(
             _rows().alias("n"),
@@ -278,6 +295,12 @@ def kpi_revenue_by_region(
     )
 
 
+def kpi_revenue_by_region(
+    orders: DataFrame, payments: DataFrame, customers: DataFrame
+) -> DataFrame:
+    return regional_revenue(order_values(orders, payments), customers)
+
+
 def kpi_payment_methods(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Transactions, value and instalments per payment type and month, delivered orders."""
     value = F.sum(cents("payment_value"))
@@ -358,10 +381,9 @@ def weather_condition_revenue(
     orders: DataFrame, payments: DataFrame, weather: DataFrame
 ) -> DataFrame:
     """Orders and revenue per temperature class and dominant weather."""
+    values = order_values(orders, payments)
     daily = _keyed_by_day(
-        _delivered(orders, "order_purchase_timestamp", "year", "month")
-        .join(order_totals(payments), "order_id", "left")
-        .groupBy(F.to_date("order_purchase_timestamp").alias("day"), "year", "month")
+        values.groupBy(F.to_date("order_purchase_timestamp").alias("day"), "year", "month")
         .agg(_rows().alias("n"), F.sum("total_cents").alias("total_cents"))
     )
     return (

@@ -63,14 +63,18 @@ def incremental_append(source: DataFrame, target: str, cursor: str, sync_date: s
     """Append rows past the target's highest cursor value as partition ``sync_date``.
 
     A repeated run of one sync date replaces that date's rows instead of doubling them: the
-    high-water mark comes from the other dates only.
+    high-water mark comes from earlier dates only. Each sync starts above the one before, so
+    the mark lies in the latest of them and no older partition's cursor column is read.
     """
     spark = source.sparkSession
     existing = read_if_exists(spark, target)
     if existing is not None:
-        before = existing.filter(F.col("sync_date") != F.lit(sync_date).cast("date"))
-        mark = before.agg(F.max(cursor).alias("mark")).first()["mark"]
-        if mark is not None:
+        day = F.col("sync_date")
+        earlier = existing.filter(day < F.lit(sync_date).cast("date"))
+        last = earlier.agg(F.max(day).alias("day")).first()["day"]
+        if last is not None:
+            latest = earlier.filter(day == F.lit(last))
+            mark = latest.agg(F.max(cursor).alias("mark")).first()["mark"]
             source = source.filter(F.col(cursor) > F.lit(mark))
     (
         source.withColumn("sync_date", F.lit(sync_date).cast("date"))

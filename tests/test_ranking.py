@@ -54,6 +54,9 @@ def test_rfm_same_by_either_way(spark):
         F.col("id").cast("string").alias("order_id"),
         (F.col("id") % 90).cast("string").alias("customer_id"),
         F.lit("delivered").alias("order_status"),
+        F.lit(2017).alias("year"),
+        F.lit(1).alias("month"),
+        F.lit(3).alias("delivery_days"),
         F.timestamp_seconds(F.lit(1_500_000_000) + F.col("id") * 50_000).alias(
             "order_purchase_timestamp"
         ),
@@ -62,9 +65,10 @@ def test_rfm_same_by_either_way(spark):
         (F.col("id") % 380).cast("string").alias("order_id"),
         (F.col("id") % 37 + 0.25).alias("payment_value"),
     )
+    values = kpis.order_values(orders, payments)
     for best_is_five in (True, False):
-        small = kpis.kpi_customer_rfm(orders, payments, best_is_five=best_is_five)
-        large = kpis.kpi_customer_rfm(orders, payments, best_is_five=best_is_five, small_rows=0)
+        small = kpis.rfm_segments(values, best_is_five=best_is_five)
+        large = kpis.rfm_segments(values, best_is_five=best_is_five, small_rows=0)
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    best = kpis.kpi_customer_rfm(orders, payments).orderBy(F.col("rfm_score").desc()).first()
+    best = kpis.rfm_segments(values).orderBy(F.col("rfm_score").desc()).first()
     assert best.customer_segment == "Champions"
