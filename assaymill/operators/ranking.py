@@ -14,12 +14,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill.session import materialize
+from assaymill.operators.joins import estimated_bytes
+from assaymill.session import MB, materialize
 
 # ``monotonically_increasing_id`` keeps the partition number above this bit.
 _PARTITION_SHIFT = 33
 # Up to this many rows a single sorted task is quicker than writing a ranged copy.
 SMALL_ROWS = 200_000
+# Beyond this estimate the rows are not even counted to find out.
+SMALL_BYTES = 256 * MB
+
+
+def _fits_one_task(df: DataFrame, small_rows: int) -> bool:
+    """Whether a counted, bounded number of rows makes a plain global window safe."""
+    return estimated_bytes(df) <= SMALL_BYTES and df.count() <= small_rows
 
 
 def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[DataFrame, int]:
@@ -47,8 +55,16 @@ def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[Data
     return ranked, placed.count()
 
 
-def with_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
+def with_rank(
+    df: DataFrame,
+    order: Sequence[Column],
+    rank_col: str = "rank",
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
     """Consecutive ranks 1..N in the order given; end ``order`` with a unique key."""
+    if _fits_one_task(df, small_rows):
+        rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return df.withColumn(rank_col, rank)
     return _ranked(df, order, rank_col)[0]
 
 
@@ -62,9 +78,15 @@ def tile_of_rank(rank: Column, rows: int, tiles: int) -> Column:
 
 
 def with_ntile(
-    df: DataFrame, order: Sequence[Column], tiles: int, tile_col: str = "tile"
+    df: DataFrame,
+    order: Sequence[Column],
+    tiles: int,
+    tile_col: str = "tile",
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """``ntile(tiles) over (order by ...)``, distributed."""
+    """``ntile(tiles) over (order by ...)``, distributed unless there are few rows."""
+    if _fits_one_task(df, small_rows):
+        return df.withColumn(tile_col, F.ntile(tiles).over(Window.orderBy(*order)))
     ranked, rows = _ranked(df, order, "_rank")
     return ranked.withColumn(tile_col, tile_of_rank(F.col("_rank"), rows, tiles)).drop("_rank")
 
@@ -110,7 +132,7 @@ def with_tiles(
     Measures are integers ranked ascending, ties settled by ``key``. ``df`` should be a stored
     table: it is read more than once. Few rows take the plain window.
     """
-    if df.count() <= small_rows:
+    if _fits_one_task(df, small_rows):
         return df.withColumns(
             {
                 tile: F.ntile(tiles).over(
