@@ -39,7 +39,6 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers")
     parser.add_argument("--topic", default=TABLE)
     parser.add_argument("--trigger", default="30 seconds")
-    parser.add_argument("--publish-every", type=int, default=1)
     return parser.parse_args(argv)
 
 
@@ -84,7 +83,6 @@ def run_stream(spark, lake: Lake, args: argparse.Namespace) -> int:
         lake.silver("weather_enriched"),
         lake.silver_stream("weather_realtime"),
         lake.gold("lambda_weather_unified"),
-        publish_every=args.publish_every,
     )
     unified = view.run(kept, f"{checkpoints}/streaming_unified", trigger, wait=False)
     try:

@@ -98,7 +98,8 @@ def skew_join(
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` to append: key set, one per key, key not yet in ``target``."""
     fresh = require_keys(incoming, keys).dropDuplicates(list(keys))
-    return fresh.join(target.select(*keys), list(keys), "left_anti")
+    known = target.select(*keys).dropDuplicates()
+    return fresh.join(known, list(keys), "left_anti")
 
 
 def count_orphans(

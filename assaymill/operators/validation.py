@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assaymill.session import literal_rows
-from assaymill.sources.loads import read_if_exists
+from assaymill.sources.loads import MISSING, read_if_exists
 from assaymill.sources.schemas import TOOL_COLUMN_PREFIX, RawTable, types_compatible
 from assaymill.sources.tables import file_listing
 
@@ -173,7 +173,7 @@ def read_if_exists_recursive(spark: SparkSession, path: str) -> DataFrame | None
     try:
         return spark.read.option("recursiveFileLookup", True).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() in MISSING:
             return None
         raise
 

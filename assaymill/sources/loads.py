@@ -13,6 +13,8 @@ from assaymill.operators.clean import blank_to_null, require_keys
 from assaymill.operators.joins import insert_if_absent
 
 CORRUPT = "_corrupt_record"
+# Error conditions that mean there is no table yet.
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -23,7 +25,7 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() in MISSING:
             return None
         raise
 

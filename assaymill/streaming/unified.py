@@ -8,13 +8,15 @@ from the current micro-batch alone, and only the months a batch touched are rewr
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.operators.clean import latest_by_key
 from assaymill.session import scratch_path
-from assaymill.sources.loads import read_if_exists
+from assaymill.sources.loads import MISSING, read_if_exists
 from assaymill.sources.tables import write_table
 
 KEYS = ("city_name", "unix_timestamp")
@@ -48,76 +50,98 @@ def unify(
     return latest_by_key(rows, keys, newest).drop("_side", "_at")
 
 
-def _only(df: DataFrame | None, touched: Sequence) -> DataFrame | None:
-    """Rows of the touched months; literal partition values prune folders."""
-    if df is None:
-        return None
-    wanted = F.lit(False)
-    for r in touched:
-        month = [F.col(p).eqNullSafe(F.lit(r[p])) for p in PARTS]
-        wanted = wanted | (month[0] & month[1])
-    return df.filter(wanted)
+def _month_path(root: str, month: Row) -> str:
+    """Folder of one month; a missing time has Hive's default partition name."""
+    named = {p: "__HIVE_DEFAULT_PARTITION__" if month[p] is None else month[p] for p in PARTS}
+    return "/".join([root, *[f"{p}={v}" for p, v in named.items()]])
+
+
+def _read_months(spark: SparkSession, root: str, months: Sequence[Row]) -> DataFrame | None:
+    """The given months of a partitioned table; no other folder is listed."""
+    found = []
+    for month in months:
+        try:
+            found.append(
+                spark.read.option("basePath", root).parquet(_month_path(root, month))
+            )
+        except AnalysisException as e:
+            if e.getCondition() not in MISSING:
+                raise
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 class UnifiedView:
-    """The store, the batch table and the published view of one unified table."""
+    """The store, the batch table and the published view of one unified table.
+
+    The store is laid out by month, then ``batch_id``.
+    """
 
     def __init__(
-        self,
-        batch_path: str,
-        store_path: str,
-        view_path: str,
-        keys: Sequence[str] = KEYS,
-        publish_every: int = 1,
+        self, batch_path: str, store_path: str, view_path: str, keys: Sequence[str] = KEYS
     ):
         self.batch_path, self.store_path, self.view_path = batch_path, store_path, view_path
-        self.keys, self.publish_every = tuple(keys), publish_every
+        self.keys = tuple(keys)
 
-    def store(self, micro_batch: DataFrame, batch_id: int) -> None:
+    def store(self, micro_batch: DataFrame, batch_id: int, path: str | None = None) -> None:
         """Put a micro-batch into the real-time store, replacing an earlier attempt."""
         (
-            micro_batch.withColumn("batch_id", F.lit(batch_id))
+            micro_batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", *PARTS)
-            .parquet(self.store_path)
+            .partitionBy(*PARTS, "batch_id")
+            .parquet(path or self.store_path)
         )
 
     def current(self, spark: SparkSession) -> DataFrame | None:
         """The view as batch and store stand now, without publishing it."""
-        realtime = read_if_exists(spark, self.store_path)
-        if realtime is None:
-            return read_if_exists(spark, self.batch_path)
-        return unify(read_if_exists(spark, self.batch_path), realtime, self.keys)
+        batch, realtime = (read_if_exists(spark, p) for p in (self.batch_path, self.store_path))
+        return batch if realtime is None else unify(batch, realtime, self.keys)
 
-    def publish(self, spark: SparkSession, first_batch: int, last_batch: int) -> None:
-        """Rewrite the months that the given micro-batches touched."""
+    def publish(self, spark: SparkSession, months: Sequence[Row]) -> None:
+        """Rewrite the given months of the view from batch table and store."""
+        realtime = _read_months(spark, self.store_path, months)
+        if realtime is not None:
+            batch = _read_months(spark, self.batch_path, months)
+            write_table(unify(batch, realtime, self.keys), self.view_path, PARTS)
+
+    def on_micro_batch(self, micro_batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` callback; safe to run again with the same batch.
+
+        The batch is read twice, so it is kept while the callback runs: decoding and stateful
+        steps before it are not repeated. The months it touches are a handful of rows.
+        """
+        micro_batch = micro_batch.persist()
+        try:
+            months = micro_batch.select(*PARTS).distinct().collect()
+            if months:
+                self.store(micro_batch, batch_id)
+                self.publish(micro_batch.sparkSession, months)
+        finally:
+            micro_batch.unpersist()
+
+    def compact_store(self, spark: SparkSession, target: str) -> None:
+        """Merge all micro-batches into one per month in a sibling folder.
+
+        Each key keeps its latest row under the highest batch id, so a stream that goes on
+        with ``target`` as its store yields the same view from far fewer folders.
+        """
         realtime = read_if_exists(spark, self.store_path)
         if realtime is None:
             return
-        touched = (
-            realtime.filter(F.col("batch_id").between(first_batch, last_batch))
-            .select(*PARTS)
-            .distinct()
-            .collect()
-        )
-        if not touched:
-            return
-        batch = read_if_exists(spark, self.batch_path)
-        fresh = unify(_only(batch, touched), _only(realtime, touched), self.keys)
-        write_table(fresh, self.view_path, PARTS)
-
-    def on_micro_batch(self, micro_batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` callback; safe to run again with the same batch."""
-        self.store(micro_batch, batch_id)
-        if (batch_id + 1) % self.publish_every == 0:
-            self.publish(micro_batch.sparkSession, batch_id + 1 - self.publish_every, batch_id)
+        last = realtime.agg(F.max("batch_id").alias("last")).first()["last"]
+        self.store(unify(None, realtime, self.keys).drop("origin"), last, target)
 
     def run(
-        self, stream: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
+        self,
+        stream: DataFrame,
+        checkpoint: str | None = None,
+        trigger: dict | None = None,
         wait: bool = True,
     ):
-        """Start the stream of conformed rows into store and view."""
+        """Start the stream of conformed rows into store and view.
+
+        The trigger interval also sets how often touched months are rewritten.
+        """
         checkpoint = checkpoint or scratch_path(stream.sparkSession, "unified-checkpoint")
         query = (
             stream.writeStream.foreachBatch(self.on_micro_batch)

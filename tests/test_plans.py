@@ -67,6 +67,14 @@ def test_status_filter_and_columns_reach_the_scan(silver):
     assert "ReadSchema: struct<order_id:string,order_status:string>" in plan
 
 
+def test_range_filters_reach_the_scan(spark, sf_dir):
+    path = scratch_path(spark, "raw-items")
+    Inputs(spark, sf_dir).raw("order_items").write.parquet(path)
+    plan = plan_of(facts.build_fact_order_items(spark.read.parquet(path)).select("order_id"))
+    assert "GreaterThanOrEqual(price,0.0)" in plan and "IsNotNull(order_id)" in plan
+    assert "ReadSchema: struct<order_id:string,price:double>" in plan
+
+
 def test_month_filter_prunes_partitions(silver):
     plan = plan_of(silver["orders"].filter("year = 1999 and month = 3").select("order_id"))
     assert "PartitionFilters: [isnotnull(year" in plan

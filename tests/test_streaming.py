@@ -136,13 +136,26 @@ def test_batch_wins_and_other_months_stay(spark):
     }
 
 
-def test_publish_every_other_batch(spark):
+def test_compacted_store_gives_the_same_view(spark):
+    view, (batch, _, target) = _view(spark)
+    for i, temp in enumerate((1.0, 2.0, 3.0)):
+        rows = [_reading(1, temp), _reading(10 + i, temp, month=2)]
+        view.on_micro_batch(spark.createDataFrame(rows, VIEW), i)
+    before = sorted(map(str, view.current(spark).collect()))
+    compacted = scratch_path(spark, "compacted")
+    view.compact_store(spark, compacted)
+    again = UnifiedView(batch, compacted, scratch_path(spark, "view"))
+    assert sorted(map(str, again.current(spark).collect())) == before
+    assert spark.read.parquet(compacted).select("batch_id").distinct().count() == 1
+    again.on_micro_batch(spark.createDataFrame([_reading(1, 9.0)], VIEW), 3)
+    assert _content(spark, again.view_path)[("X", 1)] == (9.0, "stream")
+
+
+def test_reading_without_a_time_is_kept(spark):
     view, (_, _, target) = _view(spark)
-    view.publish_every = 2
-    view.on_micro_batch(spark.createDataFrame([_reading(1, 1.0, month=1)], VIEW), 0)
-    assert view.current(spark).count() == 1
-    view.on_micro_batch(spark.createDataFrame([_reading(2, 2.0, month=2)], VIEW), 1)
-    assert set(_content(spark, target)) == {("X", 1), ("X", 2)}
+    row = (7, None, "X", 0.0, 0.0, 1.0, 1, 1.0, "Rain", None, None)
+    view.on_micro_batch(spark.createDataFrame([row, _reading(1, 1.0)], VIEW), 0)
+    assert set(_content(spark, target)) == {("X", 7), ("X", 1)}
 
 
 def test_empty_micro_batch_changes_nothing(spark):
