@@ -9,7 +9,9 @@ the same partitions even when executors are lost.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from assaymill.session import MB, materialize
 # ``monotonically_increasing_id`` keeps the partition number above this bit.
 _PARTITION_SHIFT = 33
 # Up to this many rows a single sorted task is quicker than writing a ranged copy.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 500_000
 # Beyond this estimate the rows are not even counted to find out.
 SMALL_BYTES = 256 * MB
 
@@ -30,13 +32,18 @@ def _fits_one_task(df: DataFrame, small_rows: int) -> bool:
     return estimated_bytes(df) <= SMALL_BYTES and df.count() <= small_rows
 
 
-def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[DataFrame, int]:
-    placed = materialize(
+def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows in global order, stored, each with its partition and position in one number."""
+    return materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_position", F.monotonically_increasing_id()),
         "ranked",
     )
+
+
+def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[DataFrame, int]:
+    placed = _placed(df, order)
     part = F.shiftright("_position", _PARTITION_SHIFT)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition, whatever the number of data rows.
@@ -96,28 +103,34 @@ def tile_cuts(
 ) -> dict[str, list[tuple[int | None, str]]]:
     """Last ``(value, key)`` of every tile but the final one, per ascending integer measure.
 
-    All measures share one range shuffle of narrow rows. Only ``tiles - 1`` rows per measure
-    reach the driver.
+    All measures share one range shuffle of narrow rows. The driver gets the row count of
+    each range partition, works out where the cut rows lie, and reads just those: positions
+    ascend within a file, so Parquet skips all other row groups.
     """
     stacked = df.select(
         F.col(key).alias("_key"),
         F.posexplode(F.array(*[F.col(m).cast("bigint") for m in measures])).alias("_m", "_v"),
     )
     order = [F.col("_m").asc(), F.col("_v").asc_nulls_first(), F.col("_key").asc()]
-    ranked, total = _ranked(stacked, order, "_rank")
-    rows = total // len(measures)
+    placed = _placed(stacked, order)
+    part = F.shiftright("_position", _PARTITION_SHIFT).alias("part")
+    sizes = sorted(placed.groupBy(part).count().collect())
+    rows = sum(size for _, size in sizes) // len(measures)
     if rows == 0:
         return {m: [] for m in measures}
     width, surplus = divmod(rows, tiles)
     ends = [t * width + min(t, surplus) for t in range(1, tiles)]
-    wanted = {i * rows + end for i in range(len(measures)) for end in ends if end > 0}
-    found = {
-        r["_rank"]: (r["_v"], r["_key"])
-        for r in ranked.filter(F.col("_rank").isin(sorted(wanted))).collect()
-    }
-    return {
-        m: [found[i * rows + end] for end in ends if end > 0] for i, m in enumerate(measures)
-    }
+    ends = [end for end in ends if end > 0]
+    starts = list(accumulate((size for _, size in sizes), initial=0))
+
+    def position(rank: int) -> int:
+        i = bisect_right(starts, rank - 1) - 1
+        return (sizes[i][0] << _PARTITION_SHIFT) + rank - 1 - starts[i]
+
+    at = {(m, e): position(i * rows + e) for i, m in enumerate(measures) for e in ends}
+    cut_rows = placed.filter(F.col("_position").isin(sorted(set(at.values())))).collect()
+    found = {r["_position"]: (r["_v"], r["_key"]) for r in cut_rows}
+    return {m: [found[at[m, e]] for e in ends] for m in measures}
 
 
 def with_tiles(
