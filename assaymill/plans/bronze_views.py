@@ -51,7 +51,7 @@ SELECT lpad(CAST(c_custkey % 1000 AS STRING), 5, '0') AS geolocation_zip_code_pr
   -40.0e0 - c_nationkey - (c_custkey % 10) / 16.0e0 AS geolocation_lng,
   c_mktsegment AS geolocation_city, concat('NATION_', CAST(c_nationkey AS STRING)) AS geolocation_state
 FROM {customer}""",
-    # Every twentieth order has an older version as well.
+    # Urgent orders were delivered twice: once when created, and once more later.
     "orders": """
 SELECT CAST(o_orderkey AS STRING) AS order_id, CAST(o_custkey AS STRING) AS customer_id,
   CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'processing' END AS order_status,
@@ -68,7 +68,7 @@ SELECT CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), 'created',
   CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING),
   concat(CAST(CAST(o_orderdate + INTERVAL '10' DAY AS DATE) AS STRING), 'T00:00:00.000Z'),
   concat(CAST(CAST(o_orderdate AS DATE) AS STRING), 'T00:00:00.000Z')
-FROM {orders} WHERE o_orderkey % 20 = 0""",
+FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
     "order_items": """
 SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id,
   CAST(l_partkey AS STRING) AS product_id, CAST(l_suppkey AS STRING) AS seller_id,

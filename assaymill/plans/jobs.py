@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from assaymill.operators import dimensions, facts, kpis, quality, weather
-from assaymill.session import materialize
+from assaymill.session import materialize, scratch_scope
 from assaymill.sources.schemas import RAW_TABLES
 from assaymill.sources.tables import Lake, scan_bronze, scan_silver, write_table
 
@@ -108,5 +108,6 @@ def run_gold(spark: SparkSession, lake: Lake, reference_date: str = "2018-10-17"
         "fact_orders fact_order_items fact_payments dim_customers dim_products weather_enriched"
     )
     silver = {name: scan_silver(spark, lake.silver(name)) for name in names.split()}
-    for name, kpi in build_gold(silver, reference_date).items():
-        write_table(kpi(), lake.gold(name), GOLD_PARTITIONS.get(name, ()))
+    with scratch_scope(spark):
+        for name, kpi in build_gold(silver, reference_date).items():
+            write_table(kpi(), lake.gold(name), GOLD_PARTITIONS.get(name, ()))

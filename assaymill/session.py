@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +58,7 @@ def build_session(
 
 
 _local_base: str | None = None
+_scope: ContextVar[str] = ContextVar("scratch scope", default="")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,6 +66,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a session whose driver and tasks share one machine may fall back to a local folder.
     """
+    root = _scope.get() or _scratch_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -69,8 +78,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         _local_base = _local_base or tempfile.mkdtemp(prefix="assaymill-")
         base = _local_base
-    app = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/assaymill/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/assaymill/{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables made inside are dropped at the end, once nothing reads them any more.
+
+    For jobs whose results are written before they return; a frame that is still lazy when
+    the scope ends would lose its input.
+    """
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def literal_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:

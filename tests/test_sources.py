@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from assaymill.operators import validation
 from assaymill.plans import jobs
 from assaymill.plans.bronze_views import raw_view
-from assaymill.session import scratch_path
+from assaymill.session import materialize, scratch_path, scratch_scope
 from assaymill.sources import loads, tables
 from assaymill.sources.schemas import RAW_TABLES, types_compatible
 
@@ -149,6 +149,16 @@ def test_jobs_end_to_end(spark, sf_dir, path):
     assert spark.read.parquet(lake.gold("kpi_customer_rfm")).filter("rfm_score > 15").count() == 0
 
 
+def test_scratch_scope_leaves_nothing_behind(spark):
+    outside = materialize(spark.range(3), "outside")
+    with scratch_scope(spark) as folder:
+        inside = materialize(spark.range(5), "inside")
+        assert inside.count() == 5 and folder in inside.inputFiles()[0]
+    assert loads.read_if_exists(spark, folder) is None
+    assert outside.count() == 3
+    assert folder not in scratch_path(spark, "after")
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default=None):
