@@ -82,7 +82,9 @@ def skew_join(
     """Join ``big`` to a frame with one row per key although some keys of ``big`` are hot.
 
     Rows of hot keys meet their single partner by broadcast (as many rows as hot keys) and
-    are never gathered by key; all other rows take the ordinary shuffled join.
+    are never gathered by key; all other rows take the ordinary shuffled join. Should the
+    partners not be unique after all and outgrow a broadcast, the hot rows are shuffled too and
+    AQE splits their partitions.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -90,7 +92,8 @@ def skew_join(
     if not hot:
         return big.join(unique, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    spread = big.filter(is_hot).join(F.broadcast(unique.filter(F.col(key).isin(hot))), key, how)
+    partners = unique.filter(F.col(key).isin(hot))
+    spread = broadcast_join(big.filter(is_hot), partners, key, how)
     rest = big.filter(~is_hot).join(unique.filter(~is_hot), key, how)
     return spread.unionByName(rest)
 

@@ -20,17 +20,17 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def observed_schema(tables: dict[str, DataFrame]) -> DataFrame:
-    """``(table, position, column, type)`` per column with the rows and non-null values seen.
+def observed_schema(tables: dict[str, DataFrame], non_null: bool = False) -> DataFrame:
+    """``(table, position, column, type)`` per column with the table's row count.
 
-    One aggregation pass per table; Parquet answers it column by column.
+    Parquet footers answer that much. ``non_null`` adds the values present per column, in one
+    pass that reads every column.
     """
     parts = []
     for name, df in tables.items():
-        stats = df.agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(df.schema.fields)],
-        )
+        fields = list(enumerate(df.schema.fields))
+        present = [F.count(F.col(f.name)).alias(f"_c{i}") for i, f in fields] if non_null else []
+        stats = df.agg(F.count(F.lit(1)).alias("_rows"), *present)
         rows = [
             F.struct(
                 F.lit(name).alias("table_name"),
@@ -38,9 +38,9 @@ def observed_schema(tables: dict[str, DataFrame]) -> DataFrame:
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("type"),
                 F.col("_rows").alias("row_count"),
-                F.col(f"_c{i}").alias("non_null"),
+                *([F.col(f"_c{i}").alias("non_null")] if non_null else []),
             )
-            for i, f in enumerate(df.schema.fields)
+            for i, f in fields
         ]
         parts.append(stats.select(F.inline(F.array(*rows))))
     return _union(parts)

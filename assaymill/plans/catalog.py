@@ -604,7 +604,7 @@ def bronze_row_counts(x: Inputs) -> DataFrame:
 
 @query
 def observed_schema(x: Inputs) -> DataFrame:
-    return validation.observed_schema({t: x.table(t) for t in SOURCE_TABLES})
+    return validation.observed_schema({t: x.table(t) for t in SOURCE_TABLES}, non_null=True)
 
 
 @query
@@ -650,10 +650,11 @@ def event_stream(x: Inputs, spark: SparkSession | None = None) -> DataFrame:
     """The event table as a file stream; it may be one file or a folder of files."""
     name = "events.parquet"
     schema = x.table("events").schema
-    folder = x.table("events").inputFiles()[0].rsplit("/", 1)[0]
-    source = {"path": folder} if folder.endswith(name) else {
-        "path": x.sf_dir, "pathGlobFilter": name
-    }
+    path = table_path(x.sf_dir, "events")
+    if tables.is_folder(x.spark, path):
+        source = {"path": path}
+    else:
+        source = {"path": x.sf_dir, "pathGlobFilter": name}
     return events.stream_source(spark or x.spark, "parquet", schema=schema, **source)
 
 

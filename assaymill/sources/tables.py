@@ -118,6 +118,12 @@ def write_table(
         writer.parquet(path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(target).isDirectory()
+
+
 def file_listing(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """``(path, length)`` of the files below a folder, from the listing alone."""
     return (

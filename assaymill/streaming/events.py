@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaymill.functions.timestamps import date_key
+from assaymill.operators.joins import broadcast_join
 from assaymill.operators.weather import EVENT_SCHEMA
 
 MALFORMED = "malformed"
@@ -160,10 +162,9 @@ def raw_stream_append(
 def enrich_with_sales(stream: DataFrame, daily_sales: DataFrame, time_col: str) -> DataFrame:
     """Stream-static left join: each reading gets that calendar day's sales context.
 
-    ``daily_sales`` has one row per ``date_key``, so it is bounded by the calendar.
+    ``daily_sales`` has one row per ``date_key`` and should be a stored table: every
+    micro-batch reads it. It is broadcast if its measured size allows.
     """
-    from assaymill.functions.timestamps import date_key
-
-    return stream.withColumn("date_key", date_key(time_col)).join(
-        F.broadcast(daily_sales), "date_key", "left"
+    return broadcast_join(
+        stream.withColumn("date_key", date_key(time_col)), daily_sales, "date_key"
     )
