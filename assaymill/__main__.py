@@ -1,10 +1,12 @@
-"""Entry point for ``spark-submit``: run one job of the lake.
+"""Command line: run one job of the lake.
 
-    spark-submit ... -m assaymill validate --root hdfs:///lake --source ecommerce
-    spark-submit ... -m assaymill silver   --root hdfs:///lake
-    spark-submit ... -m assaymill gold     --root hdfs:///lake --reference-date 2018-10-17
-    spark-submit ... -m assaymill compact  --root hdfs:///lake --table weather_events
-    spark-submit ... -m assaymill stream   --root hdfs:///lake --servers host:9092 --topic t
+    python -m assaymill validate --root hdfs:///lake --source ecommerce
+    python -m assaymill silver   --root hdfs:///lake --fail-on-audit
+    python -m assaymill gold     --root hdfs:///lake --reference-date 2018-10-17
+    python -m assaymill compact  --root hdfs:///lake --table weather_events
+    python -m assaymill stream   --root hdfs:///lake --servers host:9092 --topic weather_events
+
+With ``spark-submit``, pass the zipped package as ``--py-files`` and this file as the script.
 """
 
 from __future__ import annotations

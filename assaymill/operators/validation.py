@@ -139,7 +139,7 @@ def validate_source(
         files, size = stats[name]["file_count"], stats[name]["total_bytes"]
         checks = [
             ("files_exist", files > 0, f"{files} files"),
-            ("bytes_present", size > 0, f"{size > 0}"),
+            ("bytes_present", size > 0, f"{size} bytes"),
         ]
         df = None
         if files:
