@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -16,6 +19,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per application.
+
+    The same as submitting with ``--py-files``; workers need no installed copy.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="assaymill-"), "assaymill_sources.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("assaymill", os.path.relpath(path, top)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def append_columns(
     df: DataFrame,
     inputs: Sequence[str],
@@ -28,6 +53,7 @@ def append_columns(
     arrays and returns one array per field. Input columns stay, except those whose name (in
     any case) is that of a new field, which the new field replaces.
     """
+    ship_package(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     schema = T.StructType([*kept, *fields])

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import decontaminate, langid, secrets, sentencepiece_codec, simhash
+from assaymill.llm import (
+    bm25,
+    chat,
+    decontaminate,
+    langid,
+    pages,
+    secrets,
+    sentencepiece_codec,
+    simhash,
+    toxicity,
+    warc,
+)
 from assaymill.llm.common import residue, table
 
 #: The public tokenizer file that language identification and encoding use.
@@ -23,6 +34,30 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = residue("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    grammar = toxicity.fit(docs, labels)
+    scored = toxicity.with_evidence(docs.select("doc_id", held_out.alias("held_out"), "text"), grammar)
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,10 +82,19 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_chat": op2_chat,
+    "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
+    "op6_main_text": op6_main_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_secrets": op9_secrets,
+    "op10_search": op10_search,
 }

@@ -22,9 +22,8 @@ places AS (
 ), hits AS (
   SELECT p.doc_id, p.i, p.size, item_id FROM places p JOIN windows USING (win, size)
 ), covered AS (
-  SELECT doc_id, count(DISTINCT k) AS n_hit
-  FROM (SELECT DISTINCT doc_id, i, size FROM hits), range(0, 10) AS r(o), (VALUES (0)) AS v(z),
-       LATERAL (SELECT i + o AS k)
+  SELECT doc_id, count(DISTINCT i + o) AS n_hit
+  FROM (SELECT DISTINCT doc_id, i, size FROM hits), range(0, 10) AS r(o)
   WHERE o < size GROUP BY doc_id
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
@@ -96,5 +95,43 @@ FROM texts t LEFT JOIN lines l ON l.doc_id = t.doc_id GROUP BY t.doc_id
 """
 
 
+OP2 = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+  FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+         string_agg(sha256(role || chr(31) || text), '') OVER w AS prefix
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), whole AS (SELECT prefix, min(conv_id) AS conv_id FROM placed WHERE k = n GROUP BY prefix),
+kept AS (SELECT conv_id FROM whole WHERE prefix NOT IN (SELECT prefix FROM placed WHERE k < n)),
+lines AS (
+  SELECT conv_id, k, n, CAST((k - 1) // 256 AS BIGINT) AS part,
+         replace(replace(role, '<|im_start|>', '< | im_start | >'), '<|im_end|>', '< | im_end | >') AS r,
+         replace(replace(text, '<|im_start|>', '< | im_start | >'), '<|im_end|>', '< | im_end | >') AS t
+  FROM placed JOIN kept USING (conv_id)
+)
+SELECT conv_id, part, n AS n_turns,
+       string_agg('<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(10), '' ORDER BY k) AS rendered
+FROM lines GROUP BY conv_id, part, n
+"""
+
+OP4 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS head FROM payloads WHERE payload_bytes >= 100 GROUP BY ALL
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op7_decontaminate": OP7, "op9_secrets": _op9()}
+    return {"op2_chat": OP2, "op4_warc": OP4, "op7_decontaminate": OP7, "op9_secrets": _op9()}
