@@ -90,22 +90,29 @@ def most_repetition(bits: float) -> int:
 
 
 def _hot(candidate: Column, limit: Column) -> Column:
-    """``(first, last)`` ends of the windows of high entropy in ``candidate``, 0 for none."""
-    symbols = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
-    symbols = F.filter(symbols, lambda i: i > 0)
+    """``(first, last)`` ends of the windows of high entropy in ``candidate``, 0 for none.
+
+    The fold runs over (came, went) symbols of each step, made once before it starts.
+    """
+    symbols = F.filter(
+        F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch)), lambda i: i > 0
+    )
+    gone = F.concat(F.array_repeat(F.lit(0), WINDOW), F.slice(symbols, 1, F.char_length(candidate) - WINDOW))
+    steps = F.arrays_zip(symbols.alias("came"), gone.alias("went"))
     term = F.array(*[F.lit(t).cast("bigint") for t in terms()])
     start = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0).cast("bigint").alias("sum"),
+        limit.alias("limit"),
+        F.lit(0).alias("at"),
         F.lit(0).alias("first"),
         F.lit(0).alias("last"),
     )
 
-    def step(acc: Column, i: Column) -> Column:
-        came = F.element_at(symbols, i)
-        went = F.when(i > WINDOW, F.element_at(symbols, i - WINDOW)).otherwise(F.lit(0))
-        n_went = F.when(went > 0, F.element_at(acc["counts"], F.greatest(went, F.lit(1)))).otherwise(F.lit(0))
-        n_came = F.element_at(acc["counts"], came) - F.when(came == went, 1).otherwise(0)
+    def step(acc: Column, x: Column) -> Column:
+        came, went, i = x["came"], x["went"], acc["at"] + 1
+        n_went = F.when(went > 0, F.get(acc["counts"], went - 1)).otherwise(F.lit(0))
+        n_came = F.get(acc["counts"], came - 1) - F.when(came == went, 1).otherwise(0)
         total = (
             acc["sum"]
             - F.get(term, n_went) + F.get(term, F.greatest(n_went - 1, F.lit(0)))
@@ -115,19 +122,18 @@ def _hot(candidate: Column, limit: Column) -> Column:
             acc["counts"],
             lambda c, k: c + F.when(k + 1 == came, 1).otherwise(0) - F.when(k + 1 == went, 1).otherwise(0),
         )
-        hot = (i >= WINDOW) & (total <= limit)
+        hot = (i >= WINDOW) & (total <= acc["limit"])
         return F.struct(
             counts.alias("counts"),
             total.alias("sum"),
+            acc["limit"].alias("limit"),
+            i.alias("at"),
             F.when(hot & (acc["first"] == 0), i).otherwise(acc["first"]).alias("first"),
             F.when(hot, i).otherwise(acc["last"]).alias("last"),
         )
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.size(symbols)),
-        start,
-        step,
-        lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")),
+        steps, start, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last"))
     )
 
 
