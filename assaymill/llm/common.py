@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -19,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of a batch that are worked on at a time (a single row may be larger).
+SLICE_BYTES = 4 << 20
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system: workers are reused, and the next task may differ."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 _shipped: set[str] = set()
 
 
@@ -67,8 +84,13 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            made = step(*batch.columns[:n_inputs])
-            yield pa.RecordBatch.from_arrays([*batch.columns[n_inputs:], *made], names=names)
+            rows = max(1, SLICE_BYTES * batch.num_rows // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                made = step(*part.columns[:n_inputs])
+                yield pa.RecordBatch.from_arrays([*part.columns[n_inputs:], *made], names=names)
+        del step
+        give_back_memory()
 
     return fed.mapInArrow(run, schema)
 

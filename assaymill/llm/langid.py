@@ -38,7 +38,7 @@ RUN = 32
 #: Probability of a letter that is no piece, and the least of any piece.
 FLOOR = 1e-7
 #: Words kept with their scores per Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -238,7 +238,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         def step(texts):
             values = texts.to_pylist()
             langs, scores = [], []
-            for a, b in chunks(values, 2_000_000):
+            for a, b in chunks(values, 500_000):
                 split = [marked_words(t) if t else [] for t in values[a:b]]
                 if len(place) > CACHE_WORDS:
                     place.clear()

@@ -36,7 +36,9 @@ PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words kept with their ids per Python worker.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
+#: Words handed to the libraries at a time; their results are large objects.
+WORD_BLOCK = 8_192
 
 
 @dataclass
@@ -196,7 +198,7 @@ class Codec:
     def encode(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, bool, str] | None]:
         """Per text its ids, whether the original library gives the same, and the decoded text."""
         out: list[tuple[np.ndarray, bool, str] | None] = []
-        for a, b in chunks(texts, 2_000_000):
+        for a, b in chunks(texts, 500_000):
             out += (self._encode_words if self.by_word else self._encode_whole)(texts[a:b])
         return out
 
@@ -219,12 +221,13 @@ class Codec:
             known.clear()
         split = [_MARKED.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         fresh = list({w for ws in split for w in ws if w not in known})
-        if fresh:
-            ids = [e.ids for e in self.words.encode_batch(fresh, add_special_tokens=False)]
+        for at in range(0, len(fresh), WORD_BLOCK):
+            block = fresh[at : at + WORD_BLOCK]
+            ids = [e.ids for e in self.words.encode_batch(block, add_special_tokens=False)]
             # Both others see the word without the blank that they put in front themselves.
-            other = self.original.encode([w[1:] for w in fresh], num_threads=self.threads)
+            other = self.original.encode([w[1:] for w in block], num_threads=self.threads)
             back = self.decode(ids)
-            for w, i, o, d in zip(fresh, ids, other, back):
+            for w, i, o, d in zip(block, ids, other, back):
                 # A lone marker is no text to the original library, but a piece inside one.
                 same = i == o or w == " "
                 known[w] = (np.array(i, np.int32), same, " " + d)
