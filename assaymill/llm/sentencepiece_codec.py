@@ -35,8 +35,8 @@ MARK = "▁"
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words kept with their ids per Python worker.
-CACHE_WORDS = 120_000
+#: Words after which a worker starts a new half of its cache.
+CACHE_WORDS = 250_000
 #: Words handed to the libraries at a time; their results are large objects.
 WORD_BLOCK = 8_192
 
@@ -193,11 +193,18 @@ class Codec:
         self.words = build_tokenizer(model, prefix=False) if self.by_word else None
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self._ids: dict[str, tuple[np.ndarray, bool, str]] = {}
-
-    def encode(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, bool, str] | None]:
-        """Per text its ids, whether the original library gives the same, and the decoded text."""
-        out: list[tuple[np.ndarray, bool, str] | None] = []
+        self._plain = [p.text.replace(MARK, " ") for p in model.pieces]
+        # Ids by word in two halves, and the words of the newer half that stand out.
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._unequal: set[str] = set()
+        self._changed: set[str] = set()
+        self._odd: set[str] = set()  # of the older half; they are learned again
+
+    def encode(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, bool, bool] | None]:
+        """Per text its ids, whether the original library gives the same, and whether they
+        decode to the text."""
+        out: list[tuple[np.ndarray, bool, bool] | None] = []
         for a, b in chunks(texts, 500_000):
             out += (self._encode_words if self.by_word else self._encode_whole)(texts[a:b])
         return out
@@ -211,37 +218,55 @@ class Codec:
         other = self.original.encode(given, num_threads=self.threads)
         back = self.decode(ids)
         return [
-            None if t is None else (np.array(i, np.int32), i == o, d)
+            None if t is None else (np.array(i, np.int32), i == o, d == t)
             for t, i, o, d in zip(texts, ids, other, back)
         ]
 
     def _encode_words(self, texts):
-        known = self._ids
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        if len(self._known) > CACHE_WORDS:  # words in use come back from the older half
+            self._older, self._known = self._known, {}
+            self._odd = self._unequal | self._changed
+            self._unequal, self._changed = set(), set()
+        known, older = self._known, self._older
         split = [_MARKED.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        fresh = list({w for ws in split for w in ws if w not in known})
+        fresh = []
+        for w in set(chain.from_iterable(split)):
+            if w not in known:
+                if w in older and w not in self._odd:
+                    known[w] = older[w]
+                else:
+                    fresh.append(w)
         for at in range(0, len(fresh), WORD_BLOCK):
-            block = fresh[at : at + WORD_BLOCK]
-            ids = [e.ids for e in self.words.encode_batch(block, add_special_tokens=False)]
-            # Both others see the word without the blank that they put in front themselves.
-            other = self.original.encode([w[1:] for w in block], num_threads=self.threads)
-            back = self.decode(ids)
-            for w, i, o, d in zip(block, ids, other, back):
-                # A lone marker is no text to the original library, but a piece inside one.
-                same = i == o or w == " "
-                known[w] = (np.array(i, np.int32), same, " " + d)
+            self._learn(fresh[at : at + WORD_BLOCK])
         out = []
         for t, ws in zip(texts, split):
             if t is None:
                 out.append(None)
                 continue
-            parts = [known[w] for w in ws]
-            ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
-            decoded = "".join(p[2] for p in parts)[1:]
-            out.append((ids, all(p[1] for p in parts), decoded))
+            ids = np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32)
+            parity = not self._unequal or self._unequal.isdisjoint(ws)
+            same = MARK not in t and (not self._changed or self._changed.isdisjoint(ws))
+            out.append((ids, parity, same))
         return out
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words, compare with the original library, and decode them again."""
+        ids = [e.ids for e in self.words.encode_batch(words, add_special_tokens=False)]
+        # The original sees the word without the blank that it puts in front itself.
+        other = self.original.encode([w[1:] for w in words], num_threads=self.threads)
+        unsure = []
+        for w, i, o in zip(words, ids, other):
+            self._known[w] = np.array(i, np.int32).tobytes()
+            # A lone marker is no text to the original library, but a piece inside one.
+            if i != o and w != " ":
+                self._unequal.add(w)
+            if "".join([self._plain[x] for x in i]) != w:
+                unsure.append((w, i))  # with byte pieces, which only decode together
+        if unsure:
+            for (w, _), d in zip(unsure, self.decode([i for _, i in unsure])):
+                if " " + d != w:
+                    self._changed.add(w)
+
 
 def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """Append ``token_ids``, ``n_tokens``, ``parity`` and ``round_trip`` for each whole text.
@@ -276,7 +301,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
                 ids,
                 pa.array([None if d is None else len(d[0]) for d in done], pa.int64()),
                 pa.array([None if d is None else d[1] for d in done], pa.bool_()),
-                pa.array([None if d is None else d[2] == t for d, t in zip(done, values)], pa.bool_()),
+                pa.array([None if d is None else d[2] for d in done], pa.bool_()),
             ]
 
         return step
