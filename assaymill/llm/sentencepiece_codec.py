@@ -36,7 +36,7 @@ PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words after which a worker starts a new half of its cache.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 #: Words handed to the libraries at a time; their results are large objects.
 WORD_BLOCK = 8_192
 
