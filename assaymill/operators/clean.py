@@ -54,15 +54,19 @@ def newest_version(
     keys: Sequence[str],
     version_col: str = "updated_at",
     then_by: Sequence[str] = (),
+    settle_ties: bool = False,
 ) -> DataFrame:
     """Latest row per key by ``version_col``, then by the columns ``then_by``.
 
-    Only the columns named here and those used later cross the shuffle. Without a version
-    column any copy will do.
+    Only the columns named here and those used later cross the shuffle. ``settle_ties`` goes on
+    with all other columns, so that equal versions give the same row on every run. Without a
+    version column any copy will do.
     """
     if version_col not in df.columns:
         return drop_duplicates_by_key(df, keys)
-    order = [F.col(c).desc_nulls_last() for c in [version_col, *then_by]]
+    rest = sorted(set(df.columns) - set(keys)) if settle_ties else []
+    named = dict.fromkeys([version_col, *then_by, *rest])
+    order = [F.col(c).desc_nulls_last() for c in named]
     return latest_by_key(df, keys, order)
 
 

@@ -59,7 +59,7 @@ def date_dimension_for(df: DataFrame, day_col: str) -> DataFrame:
 def build_dim_customers(raw: DataFrame) -> DataFrame:
     """Customers, latest version only, city and state normalised."""
     columns = ["customer_unique_id", "customer_city", "customer_state"]
-    df = newest_version(require_keys(raw, ["customer_id"]), ["customer_id"]).select(
+    df = newest_version(require_keys(raw, ["customer_id"]), ["customer_id"], settle_ties=True).select(
         "customer_id",
         *columns[:1],
         F.col("customer_zip_code_prefix").cast("string").alias("customer_zip_code_prefix"),
@@ -70,7 +70,7 @@ def build_dim_customers(raw: DataFrame) -> DataFrame:
 
 def build_dim_products(raw: DataFrame, translation: DataFrame | None = None) -> DataFrame:
     """Products, latest version only, with the category in English where it is known."""
-    df = newest_version(require_keys(raw, ["product_id"]), ["product_id"]).select(
+    df = newest_version(require_keys(raw, ["product_id"]), ["product_id"], settle_ties=True).select(
         "product_id",
         "product_category_name",
         *[F.col(c).try_cast("int").alias(c) for c in PRODUCT_MEASURES],
@@ -91,7 +91,7 @@ def build_dim_products(raw: DataFrame, translation: DataFrame | None = None) ->
 
 
 def build_dim_sellers(raw: DataFrame) -> DataFrame:
-    return newest_version(require_keys(raw, ["seller_id"]), ["seller_id"]).select(
+    return newest_version(require_keys(raw, ["seller_id"]), ["seller_id"], settle_ties=True).select(
         "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"
     )
 

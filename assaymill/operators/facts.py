@@ -24,7 +24,9 @@ ORDER_TIMESTAMPS = [
 
 def build_fact_orders(raw: DataFrame) -> DataFrame:
     """Latest version of each order with typed timestamps and delivery metrics."""
-    latest = newest_version(require_keys(raw, ["order_id", "customer_id"]), ["order_id"])
+    latest = newest_version(
+        require_keys(raw, ["order_id", "customer_id"]), ["order_id"], settle_ties=True
+    )
     bought, arrived = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     return cast_timestamp_columns(latest, ORDER_TIMESTAMPS).withColumns(
         {
@@ -38,8 +40,14 @@ def build_fact_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def build_fact_order_items(raw: DataFrame) -> DataFrame:
-    """One row per product in an order; negative or missing prices are rejected."""
+def build_fact_order_items(raw: DataFrame, newest_only: bool = False) -> DataFrame:
+    """One row per product in an order; negative or missing prices are rejected.
+
+    With ``newest_only`` one row per declared key: of the versions that incremental loads by
+    ``updated_at`` bring, the newest. Without it every raw row counts.
+    """
+    if newest_only:
+        raw = newest_version(raw, ["order_id", "order_item_id"], settle_ties=True)
     price, freight = F.col("price").try_cast("double"), F.col("freight_value").try_cast("double")
     return (
         require_keys(raw, ["order_id"])
@@ -59,8 +67,13 @@ def build_fact_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def build_fact_payments(raw: DataFrame) -> DataFrame:
-    """Payments, several per order possible; negative or missing amounts are rejected."""
+def build_fact_payments(raw: DataFrame, newest_only: bool = False) -> DataFrame:
+    """Payments, several per order possible; negative or missing amounts are rejected.
+
+    With ``newest_only`` one row per declared key, its newest version.
+    """
+    if newest_only:
+        raw = newest_version(raw, ["order_id", "payment_sequential"], settle_ties=True)
     value = F.col("payment_value").try_cast("double")
     return (
         require_keys(raw, ["order_id"])
@@ -81,7 +94,7 @@ def build_fact_reviews(raw: DataFrame) -> DataFrame:
     valid = require_keys(raw, ["review_id"]).filter(score.between(1, 5))
     keys = ["review_id", "order_id"]
     newest = (
-        newest_version(valid, keys)
+        newest_version(valid, keys, settle_ties=True)
         if "updated_at" in raw.columns
         else drop_duplicates_by_key(valid, keys)
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +14,8 @@ from assaymill.operators.clean import require_keys
 from assaymill.session import MB, literal_rows
 
 BROADCAST_LIMIT_BYTES = 50 * MB
-# Below this much input one task can take a whole key; looking for heavy keys would not pay.
-SKEW_CHECK_BYTES = 1024 * MB
 HEAVY_KEYS_TRACKED = 65_536
-HEAVY_KEYS_MAX = 2_048
+HEAVY_SHARE = 1 / 2_048
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -49,23 +48,16 @@ def broadcast_join(
     return large.join(small, on=on, how=how)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate before optimization, which errs on the high side.
-
-    It only decides whether looking for heavy keys is worth a job, never what is broadcast.
-    """
-    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-
-
 def heavy_keys(df: DataFrame, key: str, share: float) -> list:
     """Keys that hold at least ``share`` of all rows; at most ``1 / share`` of them exist.
 
     A mergeable frequent-items sketch finds the candidates in one column scan, without a
     shuffle by key.
     """
+    most = ceil(1 / share)
     found = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS_MAX}, {HEAVY_KEYS_TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {most}, {max(HEAVY_KEYS_TRACKED, 32 * most)})").alias("top"),
     ).first()
     floor = max(2, share * found["rows"])
     return [t["item"] for t in found["top"] or [] if t["item"] is not None and t["count"] >= floor]
@@ -76,26 +68,28 @@ def skew_join(
     unique: DataFrame,
     key: str,
     how: str = "inner",
-    share: float = 1 / HEAVY_KEYS_MAX,
-    check_bytes: int = SKEW_CHECK_BYTES,
+    share: float = HEAVY_SHARE,
 ) -> DataFrame:
     """Join ``big`` to a frame with one row per key although some keys of ``big`` are hot.
 
     Rows of hot keys meet their single partner by broadcast (as many rows as hot keys) and
     are never gathered by key; all other rows take the ordinary shuffled join. Should the
     partners not be unique after all and outgrow a broadcast, the hot rows are shuffled too and
-    AQE splits their partitions.
+    AQE splits their partitions. NULL keys match nothing and pass beside the join. ``big`` is
+    read three times, so this is for keys known to be hot; AQE deals with the rest.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = heavy_keys(big, key, share) if estimated_bytes(big) >= check_bytes else []
-    if not hot:
-        return big.join(unique, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    partners = unique.filter(F.col(key).isin(hot))
-    spread = broadcast_join(big.filter(is_hot), partners, key, how)
-    rest = big.filter(~is_hot).join(unique.filter(~is_hot), key, how)
-    return spread.unionByName(rest)
+    hot = heavy_keys(big, key, share)
+    known = big.filter(F.col(key).isNotNull())
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    joined = known.filter(~is_hot).join(unique.filter(~is_hot), key, how)
+    if hot:
+        partners = unique.filter(F.col(key).isin(hot))
+        joined = broadcast_join(known.filter(is_hot), partners, key, how).unionByName(joined)
+    if how == "left":
+        joined = joined.unionByName(big.filter(F.col(key).isNull()), allowMissingColumns=True)
+    return joined
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,8 +14,7 @@ from assaymill.functions.exact import cents, from_cents, mean_amount, ratio
 from assaymill.functions.labels import price_band, quarter_label, rfm_segment, temperature_class
 from assaymill.functions.timestamps import date_key
 from assaymill.operators.facts import order_totals
-from assaymill.operators.joins import skew_join
-from assaymill.operators.ranking import SMALL_ROWS, with_tiles
+from assaymill.operators.ranking import with_tiles
 from assaymill.session import materialize
 
 
@@ -28,7 +27,7 @@ def _delivered(orders: DataFrame, *columns: str) -> DataFrame:
 
 
 def _delivered_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return skew_join(items, _delivered(orders, "year", "month"), "order_id")
+    return items.join(_delivered(orders, "year", "month"), "order_id")
 
 
 def _categories(products: DataFrame) -> DataFrame:
@@ -102,9 +101,8 @@ def top_products_per_category(
 ) -> DataFrame:
     """The ``k`` best-earning products of each category over delivered orders."""
     sales = (
-        skew_join(
-            items.select("order_id", "product_id", "price"), _delivered(orders), "order_id"
-        )
+        items.select("order_id", "product_id", "price")
+        .join(_delivered(orders), "order_id")
         .groupBy("product_id")
         .agg(_rows().alias("units_sold"), F.sum(cents("price")).alias("price_cents"))
     )
@@ -177,7 +175,6 @@ def rfm_segments(
     values: DataFrame,
     reference_date: str = "2018-10-17",
     best_is_five: bool = True,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """RFM quintile scores and segments from ``order_values``.
 
@@ -192,7 +189,7 @@ def rfm_segments(
     }
     signs = worst_first if best_is_five else {c: -e for c, e in worst_first.items()}
     tiles = {"r_score": "_r", "f_score": "_f", "m_score": "_m"}
-    scored = with_tiles(base.withColumns(signs), "customer_id", tiles, 5, small_rows)
+    scored = with_tiles(base.withColumns(signs), "customer_id", tiles, 5)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return scored.select(
         "customer_id",
@@ -305,11 +302,8 @@ def kpi_payment_methods(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Transactions, value and instalments per payment type and month, delivered orders."""
     value = F.sum(cents("payment_value"))
     return (
-        skew_join(
-            payments.select("order_id", "payment_type", "payment_installments", "payment_value"),
-            _delivered(orders, "year", "month"),
-            "order_id",
-        )
+        payments.select("order_id", "payment_type", "payment_installments", "payment_value")
+        .join(_delivered(orders, "year", "month"), "order_id")
         .groupBy("payment_type", "year", "month")
         .agg(
             _rows().alias("transaction_count"),

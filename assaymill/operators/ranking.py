@@ -16,20 +16,10 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill.operators.joins import estimated_bytes
-from assaymill.session import MB, materialize
+from assaymill.session import materialize
 
 # ``monotonically_increasing_id`` keeps the partition number above this bit.
 _PARTITION_SHIFT = 33
-# Up to this many rows a single sorted task is quicker than writing a ranged copy.
-SMALL_ROWS = 500_000
-# Beyond this estimate the rows are not even counted to find out.
-SMALL_BYTES = 256 * MB
-
-
-def _fits_one_task(df: DataFrame, small_rows: int) -> bool:
-    """Whether a counted, bounded number of rows makes a plain global window safe."""
-    return estimated_bytes(df) <= SMALL_BYTES and df.count() <= small_rows
 
 
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -42,8 +32,7 @@ def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[DataFrame, int]:
-    placed = _placed(df, order)
+def _ranked(placed: DataFrame, rank_col: str) -> DataFrame:
     part = F.shiftright("_position", _PARTITION_SHIFT)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition, whatever the number of data rows.
@@ -53,26 +42,17 @@ def _ranked(df: DataFrame, order: Sequence[Column], rank_col: str) -> tuple[Data
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     within = F.col("_position").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
-    ranked = (
+    return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(rank_col, F.col("_offset") + within + 1)
         .drop("_part", "_offset", "_position")
     )
-    return ranked, placed.count()
 
 
-def with_rank(
-    df: DataFrame,
-    order: Sequence[Column],
-    rank_col: str = "rank",
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def with_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
     """Consecutive ranks 1..N in the order given; end ``order`` with a unique key."""
-    if _fits_one_task(df, small_rows):
-        rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return df.withColumn(rank_col, rank)
-    return _ranked(df, order, rank_col)[0]
+    return _ranked(_placed(df, order), rank_col)
 
 
 def tile_of_rank(rank: Column, rows: int, tiles: int) -> Column:
@@ -89,13 +69,11 @@ def with_ntile(
     order: Sequence[Column],
     tiles: int,
     tile_col: str = "tile",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """``ntile(tiles) over (order by ...)``, distributed unless there are few rows."""
-    if _fits_one_task(df, small_rows):
-        return df.withColumn(tile_col, F.ntile(tiles).over(Window.orderBy(*order)))
-    ranked, rows = _ranked(df, order, "_rank")
-    return ranked.withColumn(tile_col, tile_of_rank(F.col("_rank"), rows, tiles)).drop("_rank")
+    """``ntile(tiles) over (order by ...)`` without gathering the rows."""
+    placed = _placed(df, order)
+    tile = tile_of_rank(F.col("_rank"), placed.count(), tiles)
+    return _ranked(placed, "_rank").withColumn(tile_col, tile).drop("_rank")
 
 
 def tile_cuts(
@@ -138,22 +116,12 @@ def with_tiles(
     key: str,
     measures: dict[str, str],
     tiles: int = 5,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add one ``ntile`` column per measure (``{tile column: measure column}``).
 
     Measures are integers ranked ascending, ties settled by ``key``. ``df`` should be a stored
-    table: it is read more than once. Few rows take the plain window.
+    table: it is read more than once.
     """
-    if _fits_one_task(df, small_rows):
-        return df.withColumns(
-            {
-                tile: F.ntile(tiles).over(
-                    Window.orderBy(F.col(m).asc_nulls_first(), F.col(key).asc())
-                )
-                for tile, m in measures.items()
-            }
-        )
     cuts = tile_cuts(df, key, list(measures.values()), tiles)
 
     def tile(measure: str) -> Column:

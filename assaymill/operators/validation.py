@@ -171,7 +171,7 @@ def validate_source(
 def read_if_exists_recursive(spark: SparkSession, path: str) -> DataFrame | None:
     """A raw table in dated folders, or None when no file has a readable schema."""
     try:
-        return spark.read.option("recursiveFileLookup", True).parquet(path)
+        return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in MISSING:
             return None

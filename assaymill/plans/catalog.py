@@ -189,7 +189,7 @@ def csv_bulk_load(x: Inputs) -> DataFrame:
     schema = T.StructType([f for f in RAW_TABLES["customers"].schema if f.name in columns])
     x.raw("customers").select(*columns).write.option("header", True).option(
         "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(csv)
+    ).option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(csv)
     loads.load_csv(x.spark, csv, schema, target, ["customer_id"])
     loads.load_csv(x.spark, csv, schema, target, ["customer_id"])  # adds nothing
     return x.spark.read.parquet(target)

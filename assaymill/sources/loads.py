@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,15 +32,23 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV rows with a header, trimmed and blank as NULL; unreadable rows in ``CORRUPT``."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV rows with a header, trimmed and blank as NULL; unreadable rows in ``CORRUPT``.
+
+    Quotes inside quoted text are doubled. Text with line breaks needs ``multi_line``, with
+    which a file can't be split over tasks.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     df = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .schema(with_corrupt)
         .csv(path)
     )
@@ -47,10 +57,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def load_csv(
-    spark: SparkSession, csv_path: str, schema: T.StructType, target: str, keys: Sequence[str] = ()
-) -> None:
-    """Append the well-formed CSV rows whose key the target does not hold yet."""
-    rows = read_csv(spark, csv_path, schema)
+    spark: SparkSession,
+    csv_path: str,
+    schema: T.StructType,
+    target: str,
+    keys: Sequence[str] = (),
+    multi_line: bool = False,
+) -> int:
+    """Append the well-formed CSV rows whose key the target does not hold yet.
+
+    Unreadable rows are appended to ``<target>_rejects`` as they are; returns their number.
+    """
+    rows = read_csv(spark, csv_path, schema, multi_line)
+    rejects = Observation()
+    (
+        rows.filter(F.col(CORRUPT).isNotNull())
+        .observe(rejects, F.count(F.lit(1)).alias("rows"))
+        .write.mode("append")
+        .parquet(f"{target}_rejects")
+    )
     rows = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     existing = read_if_exists(spark, target)
     if keys:
@@ -59,32 +84,32 @@ def load_csv(
         else:
             rows = insert_if_absent(existing, rows, keys)
     rows.write.mode("append").parquet(target)
+    return rejects.get["rows"]
 
 
-def incremental_append(source: DataFrame, target: str, cursor: str, sync_date: str) -> None:
-    """Append rows past the target's highest cursor value as partition ``sync_date``.
+def incremental_append(
+    source: DataFrame, target: str, cursor: str, sync_date: str, keys: Sequence[str] = ()
+) -> None:
+    """Append what the target lacks as partition ``sync_date``.
 
-    A repeated run of one sync date replaces that date's rows instead of doubling them: the
-    high-water mark comes from earlier dates only. Each sync starts above the one before, so
-    the mark lies in the latest of them and no older partition's cursor column is read.
+    Rows from the high-water mark of earlier dates on, and rows without a cursor value, are
+    candidates; those that another date holds already, by ``keys`` (all columns if none are
+    given) and cursor, are left out. So ties at the mark and late rows with its value load once,
+    rows without a cursor load once, and a late re-run of an old date takes nothing that newer
+    dates hold. A repeated run replaces its date, also by nothing.
     """
     spark = source.sparkSession
     existing = read_if_exists(spark, target)
     if existing is not None:
-        day = F.col("sync_date")
-        earlier = existing.filter(day < F.lit(sync_date).cast("date"))
-        last = earlier.agg(F.max(day).alias("day")).first()["day"]
-        if last is not None:
-            latest = earlier.filter(day == F.lit(last))
-            mark = latest.agg(F.max(cursor).alias("mark")).first()["mark"]
-            source = source.filter(F.col(cursor) > F.lit(mark))
-    (
-        source.withColumn("sync_date", F.lit(sync_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sync_date")
-        .parquet(target)
-    )
+        day, today = F.col("sync_date"), F.lit(sync_date).cast("date")
+        # Reads one column of the earlier dates, whose row group statistics skip most of it.
+        mark = existing.filter(day < today).agg(F.max(cursor).alias("mark")).first()["mark"]
+        late = F.lit(True) if mark is None else F.col(cursor).isNull() | (F.col(cursor) >= F.lit(mark))
+        same = list(dict.fromkeys([*(keys or source.columns), cursor]))
+        held = existing.filter(day != today).filter(late).select(*[F.col(c).alias(f"_{c}") for c in same])
+        matches = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same])
+        source = source.filter(late).join(held, matches, "left_anti")
+    source.write.mode("overwrite").parquet(f"{target}/sync_date={sync_date}")
 
 
 def full_refresh(source: DataFrame, target: str) -> None:

@@ -46,14 +46,16 @@ def scan_bronze(
     schema: T.StructType | None = None,
     sync_dates: Sequence[str] | None = None,
     with_sync_date: bool = False,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Read a raw table laid out as ``<path>/YYYY/MM/DD/*.parquet``.
 
     ``sync_dates`` limits the listing to those days' folders. A declared ``schema`` saves the
-    footer read; without it Spark takes the schema from a file.
+    footer read; without it Spark takes the schema from a file, or with ``merge_schema`` the
+    columns of all files.
     """
     paths = [path] if sync_dates is None else [f"{path}/{d.replace('-', '/')}" for d in sync_dates]
-    reader = spark.read.option("recursiveFileLookup", True)
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(*paths)
@@ -104,16 +106,19 @@ def write_table(
     partition_cols: Sequence[str] = (),
     target_file_mb: int = TARGET_FILE_MB,
     mode: str = "overwrite",
+    replace: str = "partitions",
 ) -> None:
     """Write Parquet in files of about ``target_file_mb`` at most.
 
-    Partitioned overwrites replace only the partitions that occur in ``df``.
+    Partitioned overwrites replace only the partitions that occur in ``df``; with ``replace``
+    as ``table`` they replace the whole table, as a full recompute must.
     """
     writer = repartition_for_write(df, partition_cols).write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
         if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+            how = "static" if replace == "table" else "dynamic"
+            writer = writer.option("partitionOverwriteMode", how)
     with _file_sizing(df.sparkSession, target_file_mb):
         writer.parquet(path)
 

@@ -9,18 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from hashlib import md5
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.operators.clean import latest_by_key
-from assaymill.session import scratch_path
 from assaymill.sources.loads import MISSING, read_if_exists
 from assaymill.sources.tables import write_table
 
 KEYS = ("city_name", "unix_timestamp")
 PARTS = ("year", "month")
+#: Batch id of compacted rows.
+COMPACTED = -1
 
 
 def unify(
@@ -122,29 +124,48 @@ class UnifiedView:
     def compact_store(self, spark: SparkSession, target: str) -> None:
         """Merge all micro-batches into one per month in a sibling folder.
 
-        Each key keeps its latest row under the highest batch id, so a stream that goes on
-        with ``target`` as its store yields the same view from far fewer folders.
+        Each key keeps its latest row under the id ``COMPACTED``, which no micro-batch has and
+        which sorts before all of them. A batch that is replayed on ``target`` so adds its rows
+        beside the merged ones and replaces none of them.
         """
         realtime = read_if_exists(spark, self.store_path)
         if realtime is None:
             return
-        last = realtime.agg(F.max("batch_id").alias("last")).first()["last"]
-        self.store(unify(None, realtime, self.keys).drop("origin"), last, target)
+        self.store(unify(None, realtime, self.keys).drop("origin"), COMPACTED, target)
+
+    def _first_batch(self, spark: SparkSession, checkpoint: str) -> int:
+        """The store's id for batch 0 of a checkpoint, kept in a folder name beside the data."""
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        runs = path(f"{self.store_path}/_runs")
+        system = runs.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(runs)
+        run = md5(checkpoint.rstrip("/").encode()).hexdigest()
+        for status in system.listStatus(runs):
+            name, _, first = status.getPath().getName().partition("-")
+            if name == run:
+                return int(first)
+        stored = read_if_exists(spark, self.store_path)
+        last = stored.agg(F.max("batch_id").alias("last")).first()["last"] if stored is not None else None
+        first = 0 if last is None else max(last, COMPACTED) + 1
+        system.mkdirs(path(f"{self.store_path}/_runs/{run}-{first}"))
+        return first
 
     def run(
         self,
         stream: DataFrame,
-        checkpoint: str | None = None,
+        checkpoint: str,
         trigger: dict | None = None,
         wait: bool = True,
     ):
         """Start the stream of conformed rows into store and view.
 
-        The trigger interval also sets how often touched months are rewritten.
+        The trigger interval also sets how often touched months are rewritten. A checkpoint
+        that this store hasn't seen counts its batches from 0 again; they are stored after those
+        that are there, so a lost checkpoint overwrites nothing.
         """
-        checkpoint = checkpoint or scratch_path(stream.sparkSession, "unified-checkpoint")
+        first = self._first_batch(stream.sparkSession, checkpoint)
         query = (
-            stream.writeStream.foreachBatch(self.on_micro_batch)
+            stream.writeStream.foreachBatch(lambda df, i: self.on_micro_batch(df, first + i))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()

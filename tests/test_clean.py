@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from assaymill.functions.exact import cents, mean_amount, ratio
 from assaymill.functions.labels import price_band, quarter_label, rfm_segment, temperature_class
 from assaymill.functions.timestamps import parse_iso_millis, parse_weather_time
-from assaymill.operators import clean
+from assaymill.operators import clean, facts
 
 
 def test_drop_duplicates_by_key(spark):
@@ -70,6 +70,21 @@ def test_latest_by_key_prefers_newest_and_limits_before_shuffle(spark):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
+def test_equal_versions_are_settled(spark):
+    rows = [("o", 1, f"p{i}", float(i), 0.0, "v1") for i in range(5)] + [("o", 1, "old", 9.0, 0.0, "v0")]
+    schema = (
+        "order_id string, order_item_id long, product_id string, price double, "
+        "freight_value double, updated_at string"
+    )
+    raw = spark.createDataFrame(rows, schema).withColumns(
+        {"seller_id": F.lit("s"), "shipping_limit_date": F.lit(None).cast("string")}
+    )
+    for parts in (1, 3):
+        items = facts.build_fact_order_items(raw.repartition(parts), newest_only=True).collect()
+        assert [r.product_id for r in items] == ["p4"]
+    assert facts.build_fact_order_items(raw).count() == 6
+
+
 def test_latest_by_key_prunes_unused_columns(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")
     latest = clean.newest_version(df, ["o_custkey"], "o_orderdate").select("o_custkey")

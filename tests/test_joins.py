@@ -28,7 +28,7 @@ def _rows(df):
 def test_skew_join_equals_plain_join(spark):
     big, unique = _skewed(spark)
     for how in ("inner", "left"):
-        ours = joins.skew_join(big, unique, "k", how, check_bytes=0)
+        ours = joins.skew_join(big, unique, "k", how)
         assert _rows(ours) == _rows(big.join(unique, "k", how))
         assert "Union" in plan_of(ours)
 
@@ -37,13 +37,15 @@ def test_skew_join_hot_key_without_partner(spark):
     big, unique = _skewed(spark)
     lonely = unique.filter("k <> 'hot'")
     for how in ("inner", "left"):
-        ours = joins.skew_join(big, lonely, "k", how, check_bytes=0)
+        ours = joins.skew_join(big, lonely, "k", how)
         assert _rows(ours) == _rows(big.join(lonely, "k", how))
 
 
-def test_small_input_is_joined_plainly(spark):
+def test_null_keys_pass_beside_the_join(spark):
     big, unique = _skewed(spark)
-    assert "Union" not in plan_of(joins.skew_join(big, unique.filter("x = 2"), "k"))
+    big = big.unionByName(big.limit(7).withColumn("k", F.lit(None).cast("string")))
+    for how in ("inner", "left"):
+        assert _rows(joins.skew_join(big, unique, "k", how)) == _rows(big.join(unique, "k", how))
 
 
 def test_heavy_keys(spark):
@@ -52,25 +54,6 @@ def test_heavy_keys(spark):
     assert joins.heavy_keys(big.limit(0), "k", 0.02) == []
 
 
-def test_kpi_same_with_skew_handling(spark, monkeypatch):
-    orders = spark.createDataFrame(
-        [(f"o{i}", "delivered", 2017, i % 12 + 1) for i in range(40)],
-        "order_id string, order_status string, year int, month int",
-    )
-    payments = spark.createDataFrame(
-        [("o1" if i % 3 == 0 else f"o{i % 45}", f"t{i % 4}", i % 6, i / 100) for i in range(900)],
-        "order_id string, payment_type string, payment_installments int, payment_value double",
-    )
-    plain = sorted(map(tuple, kpis.kpi_payment_methods(payments, orders).collect()))
-    original = joins.skew_join
-    monkeypatch.setattr(
-        kpis, "skew_join", lambda b, u, k, how="inner": original(b, u, k, how, check_bytes=0)
-    )
-    spread = kpis.kpi_payment_methods(payments, orders)
-    assert "Union" in plan_of(spread)
-    assert sorted(map(tuple, spread.collect())) == plain
-
-
 def test_broadcast_only_below_the_limit(spark):
     large, small = spark.range(1000).withColumn("s", F.lit("x" * 50)), spark.range(100)
     assert "BroadcastHashJoin" in plan_of(joins.broadcast_join(large, small, "id"))

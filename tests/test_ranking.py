@@ -18,7 +18,7 @@ def _tied(spark, n, partitions=7):
 def test_ntile_equals_window(spark, n):
     df = _tied(spark, n)
     order = [F.col("v").desc(), F.col("key").asc()]
-    ours = ranking.with_ntile(df, order, 5, small_rows=-1)
+    ours = ranking.with_ntile(df, order, 5)
     theirs = df.withColumn("tile", F.ntile(5).over(Window.orderBy(*order)))
     assert sorted(map(tuple, ours.collect()), key=str) == sorted(map(tuple, theirs.collect()), key=str)
 
@@ -26,7 +26,7 @@ def test_ntile_equals_window(spark, n):
 def test_rank_equals_window(spark):
     df = _tied(spark, 501)
     order = [F.col("v").asc(), F.col("key").asc()]
-    ours = {(r.key, r["rank"]) for r in ranking.with_rank(df, order, small_rows=-1).collect()}
+    ours = {(r.key, r["rank"]) for r in ranking.with_rank(df, order).collect()}
     numbered = df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     assert ours == {(r.key, r["rank"]) for r in numbered.collect()}
 
@@ -35,8 +35,13 @@ def test_rank_equals_window(spark):
 def test_cuts_equal_windows(spark, n):
     df = _tied(spark, n)
     tiles = {"a": "v", "b": "w"}
-    plain = ranking.with_tiles(df, "key", tiles, 5, small_rows=10_000)
-    cut = ranking.with_tiles(df, "key", tiles, 5, small_rows=-1 if n else 0)
+    plain = df.withColumns(
+        {
+            t: F.ntile(5).over(Window.orderBy(F.col(m).asc_nulls_first(), F.col("key").asc()))
+            for t, m in tiles.items()
+        }
+    )
+    cut = ranking.with_tiles(df, "key", tiles, 5)
     cols = ["key", "a", "b"]
     assert sorted(map(tuple, plain.select(cols).collect())) == sorted(
         map(tuple, cut.select(cols).collect())
@@ -45,11 +50,11 @@ def test_cuts_equal_windows(spark, n):
 
 def test_distributed_tiles_need_no_single_partition(spark):
     df = _tied(spark, 500)
-    cut = ranking.with_tiles(df, "key", {"a": "v"}, 5, small_rows=10)
+    cut = ranking.with_tiles(df, "key", {"a": "v"}, 5)
     assert "Window" not in cut._jdf.queryExecution().executedPlan().toString()
 
 
-def test_rfm_same_by_either_way(spark):
+def test_rfm_scores_are_window_tiles(spark):
     orders = spark.range(0, 400, 1, 5).select(
         F.col("id").cast("string").alias("order_id"),
         (F.col("id") % 90).cast("string").alias("customer_id"),
@@ -67,8 +72,9 @@ def test_rfm_same_by_either_way(spark):
     )
     values = kpis.order_values(orders, payments)
     for best_is_five in (True, False):
-        small = kpis.rfm_segments(values, best_is_five=best_is_five)
-        large = kpis.rfm_segments(values, best_is_five=best_is_five, small_rows=0)
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+        scored = kpis.rfm_segments(values, best_is_five=best_is_five)
+        spent = F.col("monetary_brl") if best_is_five else -F.col("monetary_brl")
+        tile = F.ntile(5).over(Window.orderBy(spent.asc_nulls_first(), F.col("customer_id").asc()))
+        assert scored.withColumn("want", tile).filter("want <> m_score").count() == 0
     best = kpis.rfm_segments(values).orderBy(F.col("rfm_score").desc()).first()
     assert best.customer_segment == "Champions"

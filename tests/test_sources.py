@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assaymill.operators import validation
 from assaymill.plans import jobs
@@ -71,8 +72,6 @@ def test_csv_rows_blank_and_corrupt(spark, path):
     text = ["id,city,n", "1,  Rio ,5", "2,   ,6", "3,Lima,notanumber", "4,Quito,7,extra"]
     spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.text(path)
     schema = "id string, city string, n int"
-    from pyspark.sql.types import StructType
-
     rows = loads.read_csv(spark, path, StructType.fromDDL(schema)).collect()
     good = [(r.id, r.city, r.n) for r in rows if r[loads.CORRUPT] is None]
     assert good == [("1", "Rio", 5), ("2", None, 6)]
@@ -92,6 +91,47 @@ def test_incremental_append_and_retry(spark, path):
     ]
 
 
+def test_csv_text_with_quotes_and_line_breaks(spark, path):
+    rows = [("1", 5, "good\nvery good"), ("2", 4, 'he said "ok", fine'), ("3", 3, "plain")]
+    lines = ["id,n,text", '1,5,"good', 'very good"', '2,4,"he said ""ok"", fine"', "3,3,plain", "4,x,bad"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{path}/csv")
+    schema = StructType.fromDDL("id string, n int, text string")
+    for _ in range(2):
+        assert loads.load_csv(spark, f"{path}/csv", schema, f"{path}/t", ["id"], multi_line=True) == 1
+    assert sorted(map(tuple, spark.read.parquet(f"{path}/t").collect())) == rows
+    assert spark.read.parquet(f"{path}/t_rejects").count() == 2
+
+
+def test_incremental_append_loses_nothing(spark, path):
+    def sync(day, *rows):
+        df = spark.createDataFrame(rows, "k string, c int")
+        loads.incremental_append(df, path, "c", f"2018-02-0{day}", ["k"])
+
+    def held():
+        return sorted((r.k, str(r.sync_date)[-1]) for r in spark.read.parquet(path).collect())
+
+    first = [("a", 10), ("b", 20), ("n", None)]
+    sync(1, *first)
+    second = [*first, ("tie", 20), ("m", None), ("c", 30)]
+    sync(3, *second)
+    assert held() == [("a", "1"), ("b", "1"), ("c", "3"), ("m", "3"), ("n", "1"), ("tie", "3")]
+    sync(2, *second)  # late: newer dates hold it all
+    sync(3, *second)
+    assert held() == [("a", "1"), ("b", "1"), ("c", "3"), ("m", "3"), ("n", "1"), ("tie", "3")]
+    sync(4, ("o", None))
+    sync(5, *second, ("y", 40))
+    assert ("y", "5") in held()
+    sync(5, *first)  # a re-run that finds nothing
+    assert not [k for k, day in held() if day == "5"]
+
+
+def test_full_recompute_drops_vanished_partitions(spark, path):
+    df = spark.createDataFrame([(1, 1), (2, 2)], "v int, month int")
+    tables.write_table(df, path, ["month"], replace="table")
+    tables.write_table(df.filter("month = 2"), path, ["month"], replace="table")
+    assert [r.month for r in spark.read.parquet(path).collect()] == [2]
+
+
 def test_missing_and_broken_paths(spark, path):
     assert loads.read_if_exists(spark, path) is None
     spark.createDataFrame([("no parquet",)], "value string").write.text(path)

@@ -151,6 +151,28 @@ def test_compacted_store_gives_the_same_view(spark):
     assert _content(spark, again.view_path)[("X", 1)] == (9.0, "stream")
 
 
+def test_replay_after_compaction_keeps_everything(spark):
+    view, (batch, _, _) = _view(spark)
+    batches = [[_reading(2 * i, 1.0), _reading(2 * i + 1, 1.0)] for i in range(3)]
+    for i, rows in enumerate(batches):
+        view.on_micro_batch(spark.createDataFrame(rows, VIEW), i)
+    compacted = scratch_path(spark, "compacted")
+    view.compact_store(spark, compacted)
+    again = UnifiedView(batch, compacted, scratch_path(spark, "view"))
+    before = again.current(spark).count()
+    again.on_micro_batch(spark.createDataFrame(batches[2], VIEW), 2)
+    assert again.current(spark).count() == before == view.current(spark).count()
+
+
+def test_new_checkpoint_continues_after_the_store(spark):
+    view, _ = _view(spark)
+    first = scratch_path(spark, "one")
+    assert view._first_batch(spark, first) == 0
+    view.on_micro_batch(spark.createDataFrame([_reading(1, 1.0)], VIEW), 0)
+    assert view._first_batch(spark, scratch_path(spark, "two")) == 1
+    assert view._first_batch(spark, first) == 0
+
+
 def test_reading_without_a_time_is_kept(spark):
     view, (_, _, target) = _view(spark)
     row = (7, None, "X", 0.0, 0.0, 1.0, 1, 1.0, "Rain", None, None)
