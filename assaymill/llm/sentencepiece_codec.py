@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -193,7 +194,10 @@ class Codec:
         self.words = build_tokenizer(model, prefix=False) if self.by_word else None
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self._plain = [p.text.replace(MARK, " ") for p in model.pieces]
+        self._raw = [
+            bytes([int(p.text[3:-1], 16)]) if p.kind == BYTE else p.text.replace(MARK, " ").encode()
+            for p in model.pieces
+        ]
         # Ids by word in two halves, and the words of the newer half that stand out.
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -251,17 +255,18 @@ class Codec:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words, compare with the original library, and decode them again."""
-        ids = [e.ids for e in self.words.encode_batch(words, add_special_tokens=False)]
+        ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
         # The original sees the word without the blank that it puts in front itself.
         other = self.original.encode([w[1:] for w in words], num_threads=self.threads)
         unsure = []
+        raw = self._raw.__getitem__
         for w, i, o in zip(words, ids, other):
-            self._known[w] = np.array(i, np.int32).tobytes()
+            self._known[w] = array("i", i).tobytes()
             # A lone marker is no text to the original library, but a piece inside one.
             if i != o and w != " ":
                 self._unequal.add(w)
-            if "".join([self._plain[x] for x in i]) != w:
-                unsure.append((w, i))  # with byte pieces, which only decode together
+            if b"".join(map(raw, i)) != w.encode("utf-8", "replace"):
+                unsure.append((w, i))
         if unsure:
             for (w, _), d in zip(unsure, self.decode([i for _, i in unsure])):
                 if " " + d != w:
