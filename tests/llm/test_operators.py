@@ -491,6 +491,14 @@ def test_search_is_exact(spark, documents):
             assert {d for d, _ in got[q]} >= {d for d, s in want if s > want[-1][1] + 1e-6}
 
 
+def test_search_ties_go_to_the_lowest_ids(spark):
+    """More copies than results, over several blocks and shards."""
+    rows = [(i, "copied words here" if i % 2 else f"word{i} copied") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = bm25.top_k(docs, F.col("doc_id").isin(1, 399), 5, shard_docs=150).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.doc_id) for r in got] == [(q, d) for q in (1, 399) for d in (1, 3, 5, 7, 9)]
+
+
 def test_search_edges(spark, awkward):
     got = bm25.top_k(awkward, F.lit(True), 3).collect()
     by = defaultdict(list)
