@@ -18,6 +18,7 @@ is never the smallest id. Repeated rows come back as often as they went in.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -211,19 +212,41 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
-    """The documents with one row for each near-duplicate group, that of the smallest id.
+def _order(doc_id: str) -> Column:
+    """Smallest id first, no id last, then by a hash over all columns."""
+    value = F.col(f"_row.`{doc_id}`")
+    return F.struct(value.isNull().alias("none"), value.alias("id"), F.xxhash64(F.to_json("_row")).alias("hash"))
+
+
+def first_rows(tagged: DataFrame, key: str, doc_id: str, others: Sequence[str] = ()) -> DataFrame:
+    """One row of each ``key``, its first, of ``tagged(_row, key, others)``, written once.
 
-    Of several rows with that id one stays, that with the lowest hash over all columns;
-    documents without an id stay, as they can't be told apart.
+    ``others`` depend on the key alone. Copies are reduced in their own task before the shuffle.
     """
-    groups = near_duplicates(docs, radius=radius, width=width)
-    heads = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    known = (
-        docs.join(heads, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row"))
-        .select("_row.*")
+    first = F.min_by("_row", _order(doc_id)).alias("_row")
+    return materialize(
+        tagged.groupBy(key).agg(first, *[F.first(c).alias(c) for c in others]), "first-rows"
     )
-    return known.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def one_of_each(heads: DataFrame, edges: DataFrame, key: str, doc_id: str) -> DataFrame:
+    """The rows in ``heads`` less those that come after another one of their component."""
+    roots = materialize(components(edges), "roots")
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    placed = heads.select(F.col(key).alias("node"), _order(doc_id).alias("order")).join(members, "node")
+    placed = materialize(placed.withColumn("order", F.struct("order", "node")), "placed")
+    first = placed.groupBy("root").agg(F.min("order").alias("first"))
+    later = placed.join(first, "root").where(F.col("node") != F.col("first.node"))
+    return heads.join(later.select(F.col("node").alias(key)), key, "left_anti").select("_row.*")
+
+
+def keep_one(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
+    """The documents with one row for each near-duplicate group.
+
+    Groups are of rows, whatever their ids: that with the smallest id stays, of several rows with
+    that id the one with the lowest hash over all columns. Rows without an id come last.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    marked = with_fingerprint(docs.select(row, F.col("text").alias("_text")), "_text", width)
+    heads = first_rows(marked.select("_row", "_fp"), "_fp", "doc_id")
+    return one_of_each(heads, links(heads.select("_fp"), radius), "_fp", "doc_id")
