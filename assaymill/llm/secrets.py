@@ -152,10 +152,29 @@ def _slim(spans: Column) -> Column:
     )
 
 
+def _outside(e: Column, base: Column) -> Column:
+    """The parts of the span ``e`` that no span of ``base`` covers."""
+    none = F.array().cast("array<struct<begin:int,kind:int,end:int>>")
+    over = F.array_sort(F.filter(base, lambda b: (b["begin"] < e["end"]) & (e["begin"] < b["end"])))
+    start = F.struct(e["begin"].alias("at"), none.alias("out"))
+
+    def part(begin: Column, end: Column) -> Column:
+        span = F.struct(begin.alias("begin"), F.lit(3).alias("kind"), end.alias("end"))
+        return F.when(begin < end, F.array(span)).otherwise(none)
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(acc["at"], b["end"]).alias("at"),
+            F.concat(acc["out"], part(acc["at"], b["begin"])).alias("out"),
+        )
+
+    return F.aggregate(over, start, step, lambda a: F.concat(a["out"], part(a["at"], e["end"])))
+
+
 def find(df: DataFrame, text: str = "text", into: str = "secret_spans") -> DataFrame:
     """Append ``into``: all spans ``(begin, kind, end)`` by start, then kind.
 
-    ``kind`` is the place in ``KINDS``. Entropy spans that overlap a base span are left out.
+    ``kind`` is the place in ``KINDS``. Of entropy spans the parts outside all base spans are given.
     Other columns stay, except one named ``into`` in any case.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != into.lower()]
@@ -193,11 +212,8 @@ def find(df: DataFrame, text: str = "text", into: str = "secret_spans") -> DataF
         ),
     )
     row = row.select("row", "base", extra.alias("extra"))
-    apart = F.filter(
-        "extra",
-        lambda e: ~F.exists("base", lambda b: (b["begin"] < e["end"]) & (e["begin"] < b["end"])),
-    )
-    return row.select("row.*", F.array_sort(F.concat("base", apart)).alias(into))
+    parts = F.flatten(F.transform("extra", lambda e: _outside(e, F.col("base"))))
+    return row.select("row.*", F.array_sort(F.concat("base", parts)).alias(into))
 
 
 def _written(spans: Column) -> Column:
