@@ -32,14 +32,26 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), quotes.alias("n"))
+    odd = lines.groupBy("file").agg(F.sum("n").alias("n")).where("n % 2 = 1").select("file").take(5)
+    if odd:
+        raise ValueError(f"odd number of quotes in {', '.join(r.file for r in odd)}")
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
     """CSV rows with a header, trimmed and blank as NULL; unreadable rows in ``CORRUPT``.
 
-    Quotes inside quoted text are doubled. Text with line breaks needs ``multi_line``, with
-    which a file can't be split over tasks.
+    Quotes inside quoted text are doubled, and quoted text may hold line breaks. Such a file can't
+    be split over tasks; ``multi_line=False`` is for files known to have no breaks in their text.
+    A quote that is never closed would take all rows up to the end of its file, so a file with
+    an odd number of quotes is refused.
     """
+    if multi_line:
+        refuse_open_quotes(spark, path)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     df = (
         spark.read.option("header", True)
@@ -62,7 +74,7 @@ def load_csv(
     schema: T.StructType,
     target: str,
     keys: Sequence[str] = (),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> int:
     """Append the well-formed CSV rows whose key the target does not hold yet.
 
