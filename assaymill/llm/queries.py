@@ -13,12 +13,15 @@ from assaymill.llm import (
     chat,
     decontaminate,
     langid,
+    mixing,
     pages,
+    periodic,
     secrets,
     sentencepiece_codec,
     simhash,
     toxicity,
     warc,
+    whitening,
 )
 from assaymill.llm.common import residue, table
 
@@ -86,6 +89,18 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+def op11_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat": op2_chat,
@@ -97,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_secrets": op9_secrets,
     "op10_search": op10_search,
+    "op11_mix": op11_mix,
+    "op12_whitening": op12_whitening,
+    "op13_runs": op13_runs,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assaymill.llm import secrets
+from assaymill.llm import mixing, secrets
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -133,5 +133,39 @@ FROM payloads LEFT JOIN firsts USING (payload_digest)
 """
 
 
+def _op11() -> str:
+    weights = ", ".join(map(str, mixing.WEIGHTS))
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS size,
+         md5(concat('{mixing.SEED}:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS key
+  FROM documents
+), sources AS (
+  SELECT source, sum(size) AS source_size, {mixing.MOST_REPEATS} * sum(size) AS most,
+         ([{weights}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight
+  FROM docs GROUP BY source
+), levels AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+         sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS width
+  FROM sources WINDOW w AS (ORDER BY most / weight, source NULLS LAST)
+), open AS (SELECT * FROM levels WHERE most * width >= words * weight ORDER BY words, width DESC),
+level AS (SELECT max(words) AS words, max(width) AS width FROM open),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN most * level.width < level.words * weight THEN CAST(most AS DOUBLE)
+              ELSE CAST(level.words * weight AS DOUBLE) / level.width END AS target
+  FROM sources, level
+), placed AS (
+  SELECT doc_id, size, source_size, target, CAST(round(target) AS HUGEINT) AS budget,
+         sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(budget // greatest(source_size, 1) * size
+            + greatest(0, least(size, budget - budget // greatest(source_size, 1) * source_size - before)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_chat": OP2, "op4_warc": OP4, "op7_decontaminate": OP7, "op9_secrets": _op9()}
+    return {"op2_chat": OP2, "op4_warc": OP4, "op7_decontaminate": OP7, "op9_secrets": _op9(), "op11_mix": _op11()}
