@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from assaymill.operators import clean, dimensions, facts, joins, kpis, quality,
 from assaymill.operators import validation, weather
 from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, source_table, table_path
 from assaymill.session import materialize, scratch_path
-from assaymill.sources import loads, tables
+from assaymill.sources import loads, tables, versions
 from assaymill.sources.schemas import RAW_TABLES, RawTable
 from assaymill.streaming import events, unified
 
@@ -222,6 +222,35 @@ def full_refresh(x: Inputs) -> DataFrame:
     return x.spark.read.parquet(path)
 
 
+@query
+def publish_versioned(x: Inputs) -> DataFrame:
+    """Rows per version: two tables at once, some partitions of one, an abandoned try, a rollback."""
+    layer = versions.VersionedLayer(x.spark, x.scratch("layer"))
+    orders = x.orders.select("order_id", "order_status", "year")
+    customers = x.customers.select("customer_id", F.col("customer_state").alias("order_status"))
+    with layer.publication() as first:
+        first.stage("orders", orders.filter("year < 1996"), ["year"])
+        first.stage("customers", customers)
+        first.commit()
+    lost = F.lit("lost").alias("order_status")
+    with layer.publication() as abandoned:
+        abandoned.stage("orders", orders.filter("year = 1994").select("order_id", lost, "year"), ["year"])
+    restated = F.when(F.col("year") == 1995, F.lit("restated")).otherwise(F.col("order_status"))
+    later = orders.filter("year >= 1995").withColumn("order_status", restated)
+    with layer.publication() as second:
+        second.stage("orders", later, ["year"], "partitions", gone=["year=1992"])
+        second.commit()
+    layer.rollback(1)
+    counts = [
+        layer.read(name, number)
+        .groupBy("order_status", F.lit(number).alias("version"), F.lit(name).alias("table_name"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        for number in layer.numbers()
+        for name in ("orders", "customers")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- cleaning ----------------------------------------------------------------------------
 
 

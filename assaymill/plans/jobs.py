@@ -11,6 +11,7 @@ from assaymill.operators import dimensions, facts, kpis, quality, weather
 from assaymill.session import literal_rows, materialize, scratch_scope
 from assaymill.sources.schemas import RAW_TABLES
 from assaymill.sources.tables import Lake, scan_bronze, scan_silver, write_table
+from assaymill.sources.versions import VersionedLake
 
 MONTH = ("year", "month")
 
@@ -64,24 +65,42 @@ def read_raw(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
+def audited(
+    spark: SparkSession, staged: dict[str, DataFrame], options: SilverOptions
+) -> DataFrame:
+    """The audit report as constant rows; with ``fail_on_audit`` a failed rule raises."""
+    report = quality.audit({name: staged[name] for name in options.suites}, options.suites)
+    found = report.collect()
+    report = literal_rows(spark, report.columns, found) if found else report.limit(0)
+    if options.fail_on_audit:
+        quality.enforce(report)
+    return report
+
+
 def run_silver(spark: SparkSession, lake: Lake, options: SilverOptions | None = None) -> DataFrame:
     """Build and write the silver layer; returns the audit report.
 
     Tables are staged in shared scratch space, audited there and only then published, so with
     ``fail_on_audit`` a failed rule leaves the old silver layer as it was. Publishing replaces
-    whole tables: a month that no longer occurs goes.
+    whole tables: a month that no longer occurs goes. In a ``VersionedLake`` the tables are staged as
+    the next version and appear all at once.
     """
     options = options or SilverOptions()
+    if isinstance(lake, VersionedLake):
+        with scratch_scope(spark), lake.layer(spark, "silver").publication() as publication:
+            staged = {
+                name: publication.stage(name, df, SILVER_PARTITIONS.get(name, ()))
+                for name, df in build_silver(spark, read_raw(spark, lake), options).items()
+            }
+            report = audited(spark, staged, options)
+            publication.commit(job="silver")
+        return report
     with scratch_scope(spark):
         staged = {
             name: materialize(df, f"staged-{name}")
             for name, df in build_silver(spark, read_raw(spark, lake), options).items()
         }
-        report = quality.audit({name: staged[name] for name in options.suites}, options.suites)
-        found = report.collect()
-        report = literal_rows(spark, report.columns, found) if found else report.limit(0)
-        if options.fail_on_audit:
-            quality.enforce(report)
+        report = audited(spark, staged, options)
         for name, df in staged.items():
             write_table(df, lake.silver(name), SILVER_PARTITIONS.get(name, ()), replace="table")
     return report
@@ -113,7 +132,11 @@ def build_gold(
 
 
 def run_gold(spark: SparkSession, lake: Lake, reference_date: str = "2018-10-17") -> None:
-    """Compute the KPIs from the silver layer and write them."""
+    """Compute the KPIs from the silver layer and write them.
+
+    In a ``VersionedLake`` all inputs come from one version of the silver layer, whose number is
+    noted, and all KPIs appear together.
+    """
     names = (
         "fact_orders",
         "fact_order_items",
@@ -122,6 +145,15 @@ def run_gold(spark: SparkSession, lake: Lake, reference_date: str = "2018-10-17"
         "dim_products",
         "weather_enriched",
     )
+    if isinstance(lake, VersionedLake):
+        layer = lake.layer(spark, "silver")
+        version = layer.version()
+        silver = {name: layer.read(name, version) for name in names}
+        with scratch_scope(spark), lake.layer(spark, "gold").publication() as publication:
+            for name, kpi in build_gold(silver, reference_date).items():
+                publication.stage(name, kpi(), GOLD_PARTITIONS.get(name, ()))
+            publication.commit(job="gold", silver_version=version.number)
+        return
     silver = {name: scan_silver(spark, lake.silver(name)) for name in names}
     with scratch_scope(spark):
         for name, kpi in build_gold(silver, reference_date).items():

@@ -249,6 +249,13 @@ SELECT order_id, order_status, order_purchase_timestamp,
   CASE WHEN order_purchase_timestamp < '1999' THEN '2001-12-30' ELSE '2001-12-31' END AS sync_date
 FROM raw_orders""",
     "full_refresh": "SELECT * FROM raw_sellers",
+    "publish_versioned": """
+SELECT order_status, version, table_name, count(*) AS row_count FROM (
+  SELECT order_status, unnest([1, 3]) AS version, 'orders' AS table_name FROM f_orders WHERE year < 1996
+  UNION ALL
+  SELECT CASE year WHEN 1995 THEN 'restated' ELSE order_status END, 2, 'orders' FROM f_orders WHERE year > 1992
+  UNION ALL
+  SELECT customer_state, unnest([1, 2, 3]), 'customers' FROM d_customers) GROUP BY ALL""",
     "dedup_by_key": "SELECT DISTINCT order_id, order_item_id FROM raw_order_items",
     "latest_by_key": "SELECT order_id, order_status, updated_at FROM newest_orders",
     "cast_timestamps": f"""
