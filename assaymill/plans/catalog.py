@@ -17,13 +17,15 @@ from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, source_table,
 from assaymill.session import materialize, scratch_path
 from assaymill.sources import loads, tables, versions
 from assaymill.sources.schemas import RAW_TABLES, RawTable
-from assaymill.streaming import events, unified
+from assaymill.streaming import events, merge_view, unified
 
 RFM_REFERENCE_DATE = "2001-12-31"
 # Splits the weather feed (January 1999) into a history and what arrives later.
 HISTORY_ENDS = "1999-01-10"
 # Splits the event table (January 2024) into what is on time and what comes late.
 LATE_BEFORE = "2024-01-15"
+# Splits what is on time once more.
+MIDDLE = "2024-01-08"
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -809,20 +811,22 @@ def lambda_union(x: Inputs) -> DataFrame:
 
 @query
 def lambda_unified_view(x: Inputs) -> DataFrame:
-    """A batch history and a stream over two runs that share one checkpoint."""
-    batch, store, view = x.scratch("batch"), x.scratch("store"), x.scratch("view")
+    """A batch history and three runs of a stream: two folded into the base, one still a delta."""
     history = x.weather.filter(F.col("datetime_utc") < HISTORY_ENDS)
+    batch = x.scratch("batch")
     tables.write_table(history, batch, unified.PARTS)
     add, stream = _staged(x, "live-topic")
-    lake_view = unified.UnifiedView(batch, store, view)
-    checkpoint = x.scratch("live-checkpoint")
+    view = merge_view.MergeOnReadView(x.scratch("view"), merge_view.batch_at(batch))
+    checkpoint, time = x.scratch("live-checkpoint"), F.col("ts")
     everything = x.table("events")
-    early = F.col("ts") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
-    for arriving in (everything.filter(early), everything.filter(~early)):
+    late, middle = (F.lit(day).cast("timestamp_ntz") for day in (LATE_BEFORE, MIDDLE))
+    for arriving in (everything.filter(time < middle), everything.filter((time >= middle) & (time < late)),
+                     everything.filter(time >= late)):
+        view.fold(x.spark)
         add(arriving)
         decoded = events.well_formed(events.decode_events(weather_messages(stream())))
-        lake_view.run(weather.conform_weather(decoded), checkpoint)
-    return x.spark.read.parquet(view).select(
+        view.run(weather.conform_weather(decoded), checkpoint)
+    return view.read(x.spark).select(
         "city_name", "unix_timestamp", "temperature_celsius", "weather_category", "origin",
         "year", "month",
     )

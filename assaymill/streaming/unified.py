@@ -7,6 +7,7 @@ from the current micro-batch alone, and only the months a batch touched are rewr
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from hashlib import md5
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from assaymill.operators.clean import latest_by_key
 from assaymill.sources.loads import MISSING, read_if_exists
 from assaymill.sources.tables import write_table
+from assaymill.sources.versions import Folder
 
 KEYS = ("city_name", "unix_timestamp")
 PARTS = ("year", "month")
@@ -25,6 +27,14 @@ PARTS = ("year", "month")
 COMPACTED = -1
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that a streaming query keeps in its checkpoint; None where there is none yet."""
+    folder = Folder(spark, checkpoint)
+    if not any(name == "metadata" for name, _, _ in folder.entries()):
+        return None
+    return json.loads(folder.read("metadata"))["id"]
+
+
 def unify(
     batch: DataFrame | None, realtime: DataFrame, keys: Sequence[str] = KEYS
 ) -> DataFrame:
@@ -134,12 +144,17 @@ class UnifiedView:
         self.store(unify(None, realtime, self.keys).drop("origin"), COMPACTED, target)
 
     def _first_batch(self, spark: SparkSession, checkpoint: str) -> int:
-        """The store's id for batch 0 of a checkpoint, kept in a folder name beside the data."""
+        """The store's id for batch 0 of a checkpoint, kept in a folder name beside the data.
+
+        A checkpoint is known by the query id in it, so one that was lost and began anew at the same
+        path is another one; before a query ran, by its path.
+        """
         path = spark._jvm.org.apache.hadoop.fs.Path
         runs = path(f"{self.store_path}/_runs")
         system = runs.getFileSystem(spark._jsc.hadoopConfiguration())
         system.mkdirs(runs)
-        run = md5(checkpoint.rstrip("/").encode()).hexdigest()
+        known_by = query_id(spark, checkpoint) or checkpoint.rstrip("/")
+        run = md5(known_by.encode()).hexdigest()
         for status in system.listStatus(runs):
             name, _, first = status.getPath().getName().partition("-")
             if name == run:
@@ -163,9 +178,16 @@ class UnifiedView:
         that this store hasn't seen counts its batches from 0 again; they are stored after those
         that are there, so a lost checkpoint overwrites nothing.
         """
-        first = self._first_batch(stream.sparkSession, checkpoint)
+        first: list[int] = []
+
+        def stored(df: DataFrame, batch_id: int) -> None:
+            # The query has written its id by now; at its start it may not have.
+            if not first:
+                first.append(self._first_batch(df.sparkSession, checkpoint))
+            self.on_micro_batch(df, first[0] + batch_id)
+
         query = (
-            stream.writeStream.foreachBatch(lambda df, i: self.on_micro_batch(df, first + i))
+            stream.writeStream.foreachBatch(stored)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()
