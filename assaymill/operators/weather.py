@@ -12,6 +12,8 @@ from assaymill.operators.clean import latest_by_key
 # Station used where the payload names none.
 DEFAULT_CITY, DEFAULT_LAT, DEFAULT_LON = "Patagonia", -41.81, -68.91
 
+KEYS = ("city_name", "unix_timestamp")
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("dt", T.IntegerType()),
@@ -114,19 +116,20 @@ def weather_projection(df: DataFrame) -> DataFrame:
     )
 
 
-def build_weather_enriched(
-    raw: DataFrame, keys: tuple[str, ...] = ("city_name", "unix_timestamp")
-) -> DataFrame:
-    """Silver weather: dated rows, one per station and second.
+def highest_reading(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Of several readings for a key the one with the highest values, compared column by column.
 
-    Of several readings for a key the one with the highest values, compared column by column,
-    stays, so a re-run picks the same row.
+    So a re-run picks the same row, also if readings are reduced in several steps.
     """
-    df = weather_projection(raw).filter(F.col("datetime_utc").isNotNull())
     order = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
     return latest_by_key(df, keys, order)
 
 
+def build_weather_enriched(raw: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Silver weather: dated rows, the highest reading per station and second."""
+    return highest_reading(weather_projection(raw).filter(F.col("datetime_utc").isNotNull()), keys)
+
+
 def conform_weather(df: DataFrame) -> DataFrame:
     """Decoded events to the silver names; readings without a temperature are dropped.
 

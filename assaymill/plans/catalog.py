@@ -13,6 +13,7 @@ from assaymill.functions.labels import price_band
 from assaymill.functions.exact import from_cents
 from assaymill.operators import clean, dimensions, facts, joins, kpis, quality, ranking
 from assaymill.operators import validation, weather
+from assaymill.plans import incremental
 from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, source_table, table_path
 from assaymill.session import materialize, scratch_path
 from assaymill.sources import loads, tables, versions
@@ -253,6 +254,26 @@ def publish_versioned(x: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def incremental_silver(x: Inputs) -> DataFrame:
+    """Orders merged in three loads, the middle one with the oldest versions, the last one repeated."""
+    layer = versions.VersionedLayer(x.spark, x.scratch("silver"))
+    raw, status = x.raw("orders"), F.col("order_status")
+    loads_in_turn = [
+        raw.filter(status == "delivered"),
+        raw.filter(status == "created"),
+        raw.filter(~status.isin("delivered", "created")),
+        raw.filter(~status.isin("delivered", "created")),
+    ]
+    for i, load in enumerate(loads_in_turn):
+        with layer.publication() as publication:
+            incremental.merge_orders(publication, load, None if i == 0 else load)
+            publication.commit()
+    return layer.read("fact_orders").select(
+        "order_id", "order_status", "year", "month", "delivery_days", "estimated_vs_actual_days"
+    )
+
+
 # --- cleaning ----------------------------------------------------------------------------
 
 

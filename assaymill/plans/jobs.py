@@ -30,8 +30,9 @@ class SilverOptions:
     first_day: str = "2016-01-01"
     last_day: str = "2018-12-31"
     fail_on_audit: bool = False
-    # Items and payments by declared key: set it where they are loaded by ``updated_at``.
-    newest_only: bool = False
+    # Items and payments by declared key, as they are loaded by ``updated_at``: a changed row counts
+    # once. Unset it for sources that never send a row again.
+    newest_only: bool = True
     suites: dict = field(default_factory=lambda: quality.SILVER_SUITES)
 
 

@@ -249,6 +249,8 @@ SELECT order_id, order_status, order_purchase_timestamp,
   CASE WHEN order_purchase_timestamp < '1999' THEN '2001-12-30' ELSE '2001-12-31' END AS sync_date
 FROM raw_orders""",
     "full_refresh": "SELECT * FROM raw_sellers",
+    "incremental_silver": """
+SELECT order_id, order_status, year, month, delivery_days, estimated_vs_actual_days FROM f_orders""",
     "publish_versioned": """
 SELECT order_status, version, table_name, count(*) AS row_count FROM (
   SELECT order_status, unnest([1, 3]) AS version, 'orders' AS table_name FROM f_orders WHERE year < 1996

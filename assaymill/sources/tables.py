@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from assaymill.session import MB
 
 TARGET_FILE_MB = 128
-_SYNC_DATE = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+$"
+SYNC_DATE = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+$"
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ def scan_bronze(
     if not with_sync_date:
         return df
     file = F.col("_metadata.file_path")
-    day = F.concat_ws("-", *[F.regexp_extract(file, _SYNC_DATE, i) for i in (1, 2, 3)])
+    day = F.concat_ws("-", *[F.regexp_extract(file, SYNC_DATE, i) for i in (1, 2, 3)])
     return df.select("*", day.try_cast("date").alias("sync_date"))
 
 

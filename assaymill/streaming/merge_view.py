@@ -33,7 +33,7 @@ from assaymill.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
 from assaymill.session import materialize, scratch_scope
 from assaymill.sources.loads import read_if_exists
 from assaymill.sources.tables import file_listing
-from assaymill.sources.versions import Folder, Version, VersionedLayer
+from assaymill.sources.versions import Folder, Version, VersionedLayer, partition_name
 from assaymill.streaming.unified import KEYS, PARTS, query_id, unify
 
 #: When a streamed row arrived: its run's number above this bit, its micro-batch below.
@@ -256,15 +256,16 @@ class MergeOnReadView:
         )
 
     def _fold_months(self, publication, fresh: DataFrame, batch: DataFrame | None) -> None:
-        months = fresh.select(*self.parts).distinct().collect()
-        touched = reduce(
-            or_, [reduce(and_, [F.col(p).eqNullSafe(F.lit(m[p])) for p in self.parts]) for m in months]
-        )
-        held = publication.layer.read("stream", publication.base, hidden=True).filter(touched)
+        months = [r.asDict() for r in fresh.select(*self.parts).distinct().collect()]
+        touched = [partition_name(m) for m in months]
+        held = publication.layer.read("stream", publication.base, True, touched)
         rows = self._latest(held.unionByName(fresh, allowMissingColumns=True))
-        stream = self._stage(publication, "stream", rows, "partitions")
-        batch = None if batch is None else batch.filter(touched)
-        self._stage(publication, "view", self._merged(batch, stream.filter(touched)), "partitions")
+        self._stage(publication, "stream", rows, "partitions")
+        stream = publication.staged("stream", True, touched)
+        if batch is not None:
+            same = [reduce(and_, [F.col(p).eqNullSafe(F.lit(m[p])) for p in self.parts]) for m in months]
+            batch = batch.filter(reduce(or_, same))
+        self._stage(publication, "view", self._merged(batch, stream), "partitions")
 
     def _fold_all(self, publication, fresh: DataFrame | None, batch: DataFrame | None) -> bool:
         base = publication.base
