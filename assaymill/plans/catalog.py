@@ -198,6 +198,25 @@ def csv_bulk_load(x: Inputs) -> DataFrame:
     return x.spark.read.parquet(target)
 
 
+@query
+def csv_documents(x: Inputs) -> DataFrame:
+    """Texts with line breaks, quotes and commas through CSV files that are read in small ranges."""
+    csv, target = x.scratch("documents-csv"), x.scratch("documents")
+    broken = F.when(F.col("doc_id") % 17 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    text = F.concat(F.lit('a, "b"\n'), "text")
+    x.table("documents").select(broken.alias("doc_id"), text.alias("text"), "lang").coalesce(2).write.option(
+        "header", True
+    ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(csv)
+    schema = T.StructType.fromDDL("doc_id bigint, text string, lang string")
+    size = x.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    x.spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        rejects = loads.load_csv(x.spark, csv, schema, target, ["doc_id"], splits=True)
+    finally:
+        x.spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return x.spark.read.parquet(target).withColumn("rejects", F.lit(rejects))
+
+
 @query
 def insert_if_absent(x: Inputs) -> DataFrame:
     columns = ["order_id", "order_status", "updated_at"]

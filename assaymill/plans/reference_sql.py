@@ -239,6 +239,10 @@ FROM raw_weather_current GROUP BY ALL""",
     "csv_bulk_load": """
 SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
   nullif(trim(customer_city), '') AS customer_city, customer_state FROM raw_customers""",
+    "csv_documents": """
+SELECT doc_id, trim('a, "b"' || chr(10) || text) AS text, nullif(trim(lang), '') AS lang,
+  (SELECT count(*) FROM documents WHERE doc_id % 17 = 0) AS rejects
+FROM documents WHERE doc_id % 17 <> 0""",
     "insert_if_absent": """
 SELECT order_id, order_status, updated_at FROM raw_orders WHERE order_status = 'created'
 UNION ALL

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from assaymill.operators.clean import blank_to_null, require_keys
 from assaymill.operators.joins import insert_if_absent
+from assaymill.sources.csv_splits import CORRUPT, read_csv_splits
 
-CORRUPT = "_corrupt_record"
 # Error conditions that mean there is no table yet.
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -75,12 +75,16 @@ def load_csv(
     target: str,
     keys: Sequence[str] = (),
     multi_line: bool = True,
+    splits: bool = False,
 ) -> int:
     """Append the well-formed CSV rows whose key the target does not hold yet.
 
-    Unreadable rows are appended to ``<target>_rejects`` as they are; returns their number.
+    ``splits`` reads large files by many tasks (``read_csv_splits``). Unreadable rows are appended to ``<target>_rejects`` as they are; returns their number.
     """
-    rows = read_csv(spark, csv_path, schema, multi_line)
+    if splits:
+        rows = read_csv_splits(spark, csv_path, schema)
+    else:
+        rows = read_csv(spark, csv_path, schema, multi_line)
     rejects = Observation()
     (
         rows.filter(F.col(CORRUPT).isNotNull())
