@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from assaymill.session import literal_rows
 from assaymill.sources.loads import MISSING, read_if_exists
+from assaymill.sources.schema_groups import SchemaGroup, read_groups, schema_groups, type_variants
 from assaymill.sources.schemas import TOOL_COLUMN_PREFIX, RawTable, types_compatible
 from assaymill.sources.tables import file_listing
 
@@ -61,6 +63,23 @@ def drift_of(
     return added + removed + changed
 
 
+def drift_over_files(
+    groups: Sequence[SchemaGroup], expected: dict[str, str]
+) -> list[tuple[str, str, str | None, str | None]]:
+    """As ``drift_of`` for files of several schemas: a column counts by its worst type.
+
+    The actual type lists all that occur. Types that are compatible with the declared one, but
+    not with each other, do not occur.
+    """
+    variants = type_variants(groups)
+    worst = {
+        c: next((t for t in kinds if c in expected and not types_compatible(expected[c], t)), kinds[0])
+        for c, kinds in variants.items()
+    }
+    shown = {c: " | ".join(kinds) for c, kinds in variants.items()}
+    return [(c, change, e, shown.get(c, a)) for c, change, e, a in drift_of(worst, expected)]
+
+
 def schema_drift(df: DataFrame, table: RawTable | dict[str, str], name: str) -> DataFrame:
     """Differences between a table and its declaration, with the rows each one touches.
 
@@ -131,7 +150,8 @@ def validate_source(
 ) -> DataFrame:
     """``(table, check, passed, detail)`` for every declared table of a source.
 
-    A table that cannot be read fails its count and schema checks.
+    A table that cannot be read fails its count and schema checks. Files that disagree on a type are
+    a drift of that column, not an error.
     """
     parts = []
     stats = {r["table_name"]: r for r in file_stats(spark, paths).collect()}
@@ -141,13 +161,12 @@ def validate_source(
             ("files_exist", files > 0, f"{files} files"),
             ("bytes_present", size > 0, f"{size} bytes"),
         ]
-        df = None
-        if files:
-            df = read_if_exists_recursive(spark, path)
-        if df is None:
+        groups = schema_groups(spark, path) if files else []
+        if not groups:
             checks += [("row_count", False, "unreadable"), ("schema_drift", False, "unreadable")]
         else:
-            drift = drift_of(dict(df.dtypes), declared[name].columns)
+            df = read_groups(spark, groups)
+            drift = drift_over_files(groups, declared[name].columns)
             detail = "; ".join(f"{change} {c}" for c, change, _, _ in drift)
             checks.append(("schema_drift", not drift, detail or "none"))
             counts = row_counts({name: df}, {name: declared[name].min_rows})

@@ -28,8 +28,9 @@ from assaymill.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
 from assaymill.plans.jobs import MONTH, SILVER_PARTITIONS, SilverOptions, audited
 from assaymill.session import materialize, scratch_scope
 from assaymill.sources.loads import MISSING
+from assaymill.sources.schema_groups import scan_raw
 from assaymill.sources.schemas import RAW_TABLES
-from assaymill.sources.tables import SYNC_DATE, file_listing, scan_bronze
+from assaymill.sources.tables import SYNC_DATE, file_listing
 from assaymill.sources.versions import Publication, Version, VersionedLake, partition_name
 
 #: Latest raw version of each order, by month of purchase: what later versions are compared with.
@@ -197,8 +198,11 @@ def run_incremental(
         seen = notes.get("days", {}) if notes.get("settings") == settings else {}
 
         def scan(raw_name: str, only: Sequence[str] | None = None) -> DataFrame:
-            path = lake.raw(RAW_TABLES[raw_name].source, raw_name)
-            return scan_bronze(spark, path, sync_dates=only, merge_schema=True)
+            table = RAW_TABLES[raw_name]
+            days = [lake.raw(table.source, raw_name, day) for day in only or ()]
+            # Declared types throughout, so that a load of one day fits what is stored.
+            paths = lake.raw(table.source, raw_name) if only is None else days
+            return scan_raw(spark, paths, table.schema, always=True)
 
         if not seen:
             calendar = dimensions.build_date_dimension(spark, options.first_day, options.last_day)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assaymill.operators import dimensions, facts, kpis, quality, weather
 from assaymill.session import literal_rows, materialize, scratch_scope
+from assaymill.sources.schema_groups import scan_raw
 from assaymill.sources.schemas import RAW_TABLES
-from assaymill.sources.tables import Lake, scan_bronze, scan_silver, write_table
+from assaymill.sources.tables import Lake, scan_silver, write_table
 from assaymill.sources.versions import VersionedLake
 
 MONTH = ("year", "month")
@@ -60,8 +61,9 @@ def build_silver(
 
 
 def read_raw(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """All raw days of all tables; files that disagree on a type are brought to the declared one."""
     return {
-        name: scan_bronze(spark, lake.raw(table.source, name), merge_schema=True)
+        name: scan_raw(spark, lake.raw(table.source, name), table.schema)
         for name, table in RAW_TABLES.items()
     }
 

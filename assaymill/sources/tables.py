@@ -129,13 +129,15 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.getFileStatus(target).isDirectory()
 
 
-def file_listing(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """``(path, length)`` of the files below a folder, from the listing alone."""
+def file_listing(
+    spark: SparkSession, path: str | Sequence[str], pattern: str = "*.parquet"
+) -> DataFrame:
+    """``(path, length)`` of the files below folders, from the listing alone."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(path)
+        .load(path if isinstance(path, str) else list(path))
         .select("path", "length")
     )
 
