@@ -14,6 +14,7 @@ DEFAULT_CITY, DEFAULT_LAT, DEFAULT_LON = "Patagonia", -41.81, -68.91
 
 KEYS = ("city_name", "unix_timestamp")
 
+# Fields and types of a live event.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("dt", T.IntegerType()),
@@ -30,7 +31,7 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
-# One record of the nested feed; every level may also carry the flat form of a value.
+# One record of the nested feed; every level may also carry the flat form of a value.
 RECORD_DDL = """
   dt BIGINT, dt_iso STRING, city_name STRING, lat DOUBLE, lon DOUBLE,
   temp DOUBLE, feels_like DOUBLE, temp_min DOUBLE, temp_max DOUBLE, pressure DOUBLE,
@@ -38,7 +39,9 @@ RECORD_DDL = """
   main STRUCT<temp: DOUBLE, feels_like: DOUBLE, temp_min: DOUBLE, temp_max: DOUBLE,
               pressure: DOUBLE, humidity: BIGINT>,
   wind STRUCT<speed: DOUBLE>, rain STRUCT<`1h`: DOUBLE>,
-  weather ARRAY<STRUCT<main: STRING, description: STRING>>
+  weather ARRAY<STRUCT<main: STRING, description: STRING>>,
+  weather_main STRING, weather_description STRING,
+  name STRING, city STRUCT<name: STRING, coord: STRUCT<lat: DOUBLE, lon: DOUBLE>>
 """
 
 
@@ -46,14 +49,17 @@ def flatten_weather_json(df: DataFrame, payload: str = "payload", keep: list[str
     """Nested JSON documents to flat rows.
 
     A document is either one record or holds an array ``list`` of records; both give one row
-    per record, with the nested value preferred over the flat one.
+    per record, with the nested value preferred over the flat one. As an outer explode it keeps a
+    row without values for a document without records; ``flatten_documents`` tells those apart.
     """
     record = T.StructType.fromDDL(RECORD_DDL)
     schema = T.StructType([*record.fields, T.StructField("list", T.ArrayType(record))])
     doc = F.from_json(F.col(payload), schema)
     single = F.struct(*[F.col("_doc")[name].alias(name) for name in record.fieldNames()])
     records = df.select(*keep, doc.alias("_doc")).select(
-        *keep, F.explode_outer(F.coalesce(F.col("_doc.list"), F.array(single))).alias("_r")
+        *keep,
+        F.col("_doc.city").alias("_city"),
+        F.explode_outer(F.coalesce(F.col("_doc.list"), F.array(single))).alias("_r"),
     )
 
     def nested(group: str, name: str, flat: str | None = None) -> Column:
@@ -68,18 +74,83 @@ def flatten_weather_json(df: DataFrame, payload: str = "payload", keep: list[str
             F.col("_r.dt_iso"),
             F.date_format(F.timestamp_seconds("_r.dt"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         ).alias("dt_iso"),
-        F.coalesce(F.col("_r.city_name"), F.lit(DEFAULT_CITY)).alias("city_name"),
-        F.coalesce(F.col("_r.lat"), F.lit(DEFAULT_LAT)).alias("lat"),
-        F.coalesce(F.col("_r.lon"), F.lit(DEFAULT_LON)).alias("lon"),
+        F.coalesce("_r.city_name", "_r.name", "_r.city.name", "_city.name", F.lit(DEFAULT_CITY)).alias("city_name"),
+        F.coalesce("_r.lat", "_r.city.coord.lat", "_city.coord.lat", F.lit(DEFAULT_LAT)).alias("lat"),
+        F.coalesce("_r.lon", "_r.city.coord.lon", "_city.coord.lon", F.lit(DEFAULT_LON)).alias("lon"),
         *[
             nested("main", c)
             for c in ["temp", "feels_like", "temp_min", "temp_max", "pressure", "humidity"]
         ],
         nested("wind", "speed", "wind_speed"),
         nested("rain", "1h", "rain_1h"),
-        first["main"].alias("weather_main"),
-        first["description"].alias("weather_description"),
+        F.coalesce(first["main"], F.col("_r.weather_main")).alias("weather_main"),
+        F.coalesce(first["description"], F.col("_r.weather_description")).alias("weather_description"),
+    )
+
+
+#: Where a field of a record may be, best place first; ``doc:`` starts at the whole document.
+PLACES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "dt": ("bigint", ("$.dt",)),
+    "dt_iso": ("string", ("$.dt_iso", "$.dt_txt")),
+    "city_name": ("string", ("$.city_name", "$.name", "$.city.name", "doc:$.city.name", "doc:$.name")),
+    "lat": ("double", ("$.lat", "$.coord.lat", "doc:$.city.coord.lat", "doc:$.lat")),
+    "lon": ("double", ("$.lon", "$.coord.lon", "doc:$.city.coord.lon", "doc:$.lon")),
+    "temp": ("double", ("$.main.temp", "$.temp")),
+    "feels_like": ("double", ("$.main.feels_like", "$.feels_like")),
+    "temp_min": ("double", ("$.main.temp_min", "$.temp_min")),
+    "temp_max": ("double", ("$.main.temp_max", "$.temp_max")),
+    "pressure": ("double", ("$.main.pressure", "$.pressure")),
+    "humidity": ("bigint", ("$.main.humidity", "$.humidity")),
+    "wind_speed": ("double", ("$.wind.speed", "$.wind_speed")),
+    "rain_1h": ("double", ('$.rain["1h"]', "$.rain_1h")),
+    "weather_main": ("string", ("$.weather[0].main", "$.weather_main")),
+    "weather_description": ("string", ("$.weather[0].description", "$.weather_description")),
+}
+
+
+def flatten_documents(
+    df: DataFrame, payload: str = "payload", keep: list[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Weather documents of any known form as flat rows, and those that give none as dead letters.
+
+    Each document is parsed once, into a VARIANT. It may be a record, an array of records, or an object
+    whose ``list`` holds them, with the place in ``city``; values may be nested or flat and are found
+    by ``PLACES``. A value of the wrong type becomes NULL, and so does the next place's, if there is
+    none. Dead letters have the columns ``keep``, ``raw`` and ``reason``: ``broken`` for text that is no
+    JSON, ``empty`` for a document without records, ``unknown`` for records without any known field.
+    """
+    # As generators the parser and the field accesses run once each; as plain expressions they would be
+    # copied into every filter that is pushed below them.
+    def once(**columns: Column) -> Column:
+        return F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+
+    parsed = df.select(*keep, F.col(payload).alias("_raw"), once(_doc=F.try_parse_json(payload)))
+    listed = [F.try_variant_get("_doc", path, "array<variant>") for path in ("$.list", "$")]
+    found = parsed.select("*", once(_list=F.coalesce(*listed, F.array("_doc"))))
+    records = found.filter(F.col("_doc").isNotNull()).select(*keep, "_raw", "_doc", F.explode("_list").alias("_r"))
+
+    def place(path: str, kind: str) -> Column:
+        side, _, rest = path.rpartition("doc:")
+        return F.try_variant_get("_doc" if path.startswith("doc:") else "_r", rest, kind)
+
+    fields = {
+        name: F.coalesce(*[place(path, kind) for path in paths]) for name, (kind, paths) in PLACES.items()
+    }
+    rows = records.select(*keep, "_raw", once(**fields))
+    own = [c for c in PLACES if c not in ("city_name", "lat", "lon")]
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in own]).isNull()
+    iso = F.date_format(F.timestamp_seconds("dt"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    defaults = {
+        "dt_iso": iso, "city_name": F.lit(DEFAULT_CITY), "lat": F.lit(DEFAULT_LAT), "lon": F.lit(DEFAULT_LON),
+    }
+    flat = rows.filter(~nothing).select(
+        *keep,
+        *[F.coalesce(F.col(c), defaults[c]).alias(c) if c in defaults else F.col(c) for c in PLACES],
     )
+    reason = F.when(F.col("_doc").isNull(), "broken").when(F.size("_list") == 0, "empty")
+    lost = found.select(*keep, F.col("_raw").alias("raw"), reason.alias("reason")).filter("reason IS NOT NULL")
+    unknown = rows.filter(nothing).select(*keep, F.col("_raw").alias("raw"), F.lit("unknown").alias("reason"))
+    return flat, lost.unionByName(unknown)
 
 
 def _typed(columns: set[str], name: str, type_name: str) -> Column:

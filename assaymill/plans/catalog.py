@@ -379,6 +379,29 @@ def flatten_weather_json(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def flatten_weather_variant(x: Inputs) -> DataFrame:
+    """Nested, flat, listed and unknown forms; dead letters as rows with a reason."""
+    docs = nested_weather(x).unionByName(
+        x.raw("weather_current").filter("event_id % 10 < 3").select(
+            "event_id",
+            F.when(F.col("event_id") % 10 == 0, F.concat(F.lit('{"dt": '), "event_id"))
+            .when(F.col("event_id") % 10 == 1, F.lit('{"list": [], "city": {"name": "Lima"}}'))
+            .otherwise(F.to_json(F.struct(
+                F.array(F.struct(F.col("dt").alias("dt"), F.struct(F.col("temp").cast("string").alias("temp")).alias("main"))).alias("list"),
+                F.struct(F.lit("Lima").alias("name"), F.struct(F.lit(-12).alias("lat"), F.lit("x").alias("lon")).alias("coord")).alias("city"),
+            )))
+            .alias("payload"),
+        )
+    )
+    rows, dead = weather.flatten_documents(docs, keep=["event_id"])
+    rows = rows.select(
+        "event_id", "dt", "dt_iso", "city_name", "lat", "lon", "temp", "humidity", "wind_speed", "weather_main",
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return rows.unionByName(dead.select("event_id", "reason"), allowMissingColumns=True)
+
+
 @query
 def weather_projection(x: Inputs) -> DataFrame:
     return weather.weather_projection(x.raw("weather_current"))

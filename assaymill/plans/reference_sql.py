@@ -292,6 +292,21 @@ SELECT event_id, dt + ahead, dt_iso, city_name, lat, lon, temp, humidity, pressu
   rain_1h, weather_main, weather_description
 FROM raw_weather_current JOIN (SELECT unnest([0, 10800]) AS ahead) AS a
   ON ahead = 0 OR weather_main = 'Rain' WHERE weather_main <> 'Clear'""",
+    "flatten_weather_variant": """
+SELECT event_id, dt, strftime(make_timestamp(dt * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS dt_iso,
+  'Bariloche' AS city_name, lat, lon, temp, humidity, wind_speed, CAST(NULL AS STRING) AS weather_main,
+  CAST(NULL AS STRING) AS reason
+FROM raw_weather_current WHERE weather_main = 'Clear'
+UNION ALL
+SELECT event_id, dt + ahead, dt_iso, city_name, lat, lon, temp, humidity, wind_speed, weather_main, NULL
+FROM raw_weather_current JOIN (SELECT unnest([0, 10800]) AS ahead) AS a
+  ON ahead = 0 OR weather_main = 'Rain' WHERE weather_main <> 'Clear'
+UNION ALL
+SELECT event_id, dt, strftime(make_timestamp(dt * 1000000), '%Y-%m-%dT%H:%M:%SZ'), 'Lima', -12.0e0, -68.91e0, temp,
+  NULL, NULL, NULL, NULL FROM raw_weather_current WHERE event_id % 10 = 2
+UNION ALL
+SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE event_id % 10 WHEN 0 THEN 'broken' ELSE 'empty' END FROM raw_weather_current WHERE event_id % 10 < 2""",
     "weather_projection": f"""
 SELECT * EXCLUDE (datetime_utc), {_shown('datetime_utc')}, year(datetime_utc) AS year,
   month(datetime_utc) AS month, day(datetime_utc) AS day FROM w_all""",
