@@ -24,6 +24,16 @@ GOLD_PARTITIONS = {
     "kpi_weather_sales_impact": MONTH,
     "kpi_payment_methods": MONTH,
 }
+# Order of the rows in each KPI's files; a leading ``-`` is for descending columns.
+GOLD_ORDER = {
+    "kpi_top_products_by_category": ("-gross_revenue_brl",),
+    "kpi_customer_rfm": ("customer_id",),
+    "kpi_revenue_by_region": ("customer_state", "year", "month"),
+    "kpi_price_volume_correlation": ("product_category_name", "avg_price_brl"),
+    "kpi_weather_sales_impact": ("date_key",),
+    "kpi_payment_methods": ("year", "month", "-total_value_brl"),
+    "top10_products_per_category": ("product_category_name", "rank_in_category"),
+}
 
 
 @dataclass
@@ -112,9 +122,10 @@ def run_silver(spark: SparkSession, lake: Lake, options: SilverOptions | None =
 def build_gold(
     silver: dict[str, DataFrame], reference_date: str = "2018-10-17"
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The seven KPI tables as callables, so that each one is planned when it is written.
+    """The KPI tables as callables, so that each one is planned when it is written.
 
-    Orders joined with what was paid feed several KPIs and are stored once: payments are
+    Seven KPIs and four further reports: top ten per category, monthly ticket, revenue by weather
+    and price-volume correlation. Orders joined with what was paid feed several KPIs and are stored once: payments are
     shuffled by order a single time.
     """
     orders, items = silver["fact_orders"], silver["fact_order_items"]
@@ -131,6 +142,14 @@ def build_gold(
         "kpi_price_volume_correlation": lambda: kpis.kpi_price_volume(items, products),
         "kpi_weather_sales_impact": lambda: kpis.kpi_weather_sales_impact(orders, readings),
         "kpi_payment_methods": lambda: kpis.kpi_payment_methods(payments, orders),
+        "top10_products_per_category": lambda: kpis.top_products_per_category(
+            items, products, orders
+        ),
+        "customer_monthly_ticket": lambda: kpis.monthly_ticket(values),
+        "weather_condition_revenue": lambda: kpis.weather_condition_revenue(
+            orders, payments, readings
+        ),
+        "price_volume_corr": lambda: kpis.price_volume_corr(items, products),
     }
 
 
@@ -154,10 +173,12 @@ def run_gold(spark: SparkSession, lake: Lake, reference_date: str = "2018-10-17"
         silver = {name: layer.read(name, version) for name in names}
         with scratch_scope(spark), lake.layer(spark, "gold").publication() as publication:
             for name, kpi in build_gold(silver, reference_date).items():
-                publication.stage(name, kpi(), GOLD_PARTITIONS.get(name, ()))
+                parts, order = GOLD_PARTITIONS.get(name, ()), GOLD_ORDER.get(name, ())
+                publication.stage(name, kpi(), parts, order=order)
             publication.commit(job="gold", silver_version=version.number)
         return
     silver = {name: scan_silver(spark, lake.silver(name)) for name in names}
     with scratch_scope(spark):
         for name, kpi in build_gold(silver, reference_date).items():
-            write_table(kpi(), lake.gold(name), GOLD_PARTITIONS.get(name, ()), replace="table")
+            parts, order = GOLD_PARTITIONS.get(name, ()), GOLD_ORDER.get(name, ())
+            write_table(kpi(), lake.gold(name), parts, replace="table", order=order)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,24 @@ def repartition_for_write(df: DataFrame, partition_cols: Sequence[str] = ()) ->
     return df.hint("rebalance", *[F.col(c) for c in partition_cols])
 
 
+def ordering(names: Sequence[str]) -> list[Column]:
+    """Sort columns from names; a leading ``-`` is for descending, with NULL last."""
+    return [F.col(n[1:]).desc_nulls_last() if n.startswith("-") else F.col(n).asc() for n in names]
+
+
+def cluster_for_write(
+    df: DataFrame, order: Sequence[str], partition_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Shuffle rows by ranges of ``order`` inside each partition and sort them.
+
+    Files follow each other in the order given, so the row group statistics of the first columns are
+    narrow and a filter on them skips most of a table. A hot partition spans several ranges; AQE
+    merges small ones. Each range is sorted by a task of its own, with no global sort after it.
+    """
+    by = [*[F.col(c) for c in partition_cols], *ordering(order)]
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -107,13 +125,19 @@ def write_table(
     target_file_mb: int = TARGET_FILE_MB,
     mode: str = "overwrite",
     replace: str = "partitions",
+    order: Sequence[str] = (),
 ) -> None:
     """Write Parquet in files of about ``target_file_mb`` at most.
 
     Partitioned overwrites replace only the partitions that occur in ``df``; with ``replace``
-    as ``table`` they replace the whole table, as a full recompute must.
+    as ``table`` they replace the whole table, as a full recompute must. With ``order`` the rows are
+    stored in that order, a leading ``-`` for descending columns.
     """
-    writer = repartition_for_write(df, partition_cols).write.mode(mode)
+    if order:
+        laid_out = cluster_for_write(df, order, partition_cols)
+    else:
+        laid_out = repartition_for_write(df, partition_cols)
+    writer = laid_out.write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
         if mode == "overwrite":
