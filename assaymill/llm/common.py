@@ -113,8 +113,13 @@ def residue(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(text), F.lit(modulus))
 
 
+def low_hash(key: Column, most: int, count: int) -> Column:
+    """Whether a row is among about ``most`` of ``count``: its hash lies in that share of 64 bits."""
+    if count <= most:
+        return F.lit(True)
+    return F.xxhash64(key) < F.lit((most << 64) // count - (1 << 63))
+
+
 def bounded_sample(df: DataFrame, key: Column, most: int, count: int) -> DataFrame:
     """About ``most`` of ``count`` rows, the same ones on every run: those with a low key hash."""
-    if count <= most:
-        return df
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(1_000_000 * most // count))
+    return df.where(low_hash(key, most, count))

@@ -5,9 +5,10 @@ of a word is the sum over all its segmentations into pieces, computed by a forwa
 over its characters; a text's is the product over its words. Piece probabilities are fitted by
 expectation maximisation, whose expected counts come from the same recursion run both ways.
 
-Words are runs of letters in lower case with the vocabulary's word marker in front. The fit
-reads a bounded sample of labelled texts (``SAMPLE_ROWS``); prediction reads whole texts.
-Letter runs of more than ``RUN`` letters are scored in pieces of that length.
+Words are runs of letters (Unicode category L) in lower case with the vocabulary's word marker in
+front. The fit reads a bounded sample of different labelled texts (``SAMPLE_ROWS``) and cuts runs
+of more than ``FIT_RUN`` letters. Prediction reads whole texts and sums over all segmentations of
+whole runs, however long, at a cost linear in their letters.
 
 NULL texts and texts without letters get ``und`` and score 0; so does everything if there was
 nothing to learn from. Equal scores go to the first label in sorted order.
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaymill.llm.common import append_columns, bounded_sample, chunks
+from assaymill.llm.common import append_columns, chunks, low_hash
 from assaymill.llm.sentencepiece_codec import model_bytes, parse_model
 
 UNKNOWN = "und"
@@ -34,7 +35,9 @@ MARK = "▁"
 #: Labelled texts that the fit reads at most, over all languages.
 SAMPLE_ROWS = 6_000
 ITERATIONS = 2
-RUN = 32
+FIT_RUN = 32
+#: Letters after which the forward values are rescaled, long before they leave a double's range.
+RESCALE = 16
 #: Probability of a letter that is no piece, and the least of any piece.
 FLOOR = 1e-7
 #: Words kept with their scores per Python worker.
@@ -103,6 +106,26 @@ def _forward(ids: list[np.ndarray], probs: np.ndarray, n: int, m: int) -> list[n
     return alpha
 
 
+def _forward_log(ids: list[np.ndarray], probs: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Log of the last forward value, for words of any length: only as many values as the longest
+    piece has letters are kept, and each is rescaled per word and language."""
+    last = [np.ones((m, probs.shape[1]))]
+    scale = np.zeros((m, probs.shape[1]))
+    for j in range(1, n + 1):
+        total = np.zeros_like(scale)
+        for size, piece in enumerate(ids[: min(j, len(ids))], 1):
+            at = piece[:, j - size]
+            step = probs[at]
+            if size == 1:
+                step = np.where((at >= 0)[:, None], step, FLOOR)
+            total += last[-size] * step
+        last = [*last[-max(1, len(ids)) :], total]
+        if j % RESCALE == 0:
+            scale += np.log(total)
+            last = [a / total for a in last]
+    return scale + np.log(last[-1])
+
+
 def _backward(ids: list[np.ndarray], probs: np.ndarray, n: int, m: int) -> list[np.ndarray]:
     beta = [np.ones((m, probs.shape[1]))] * (n + 1)
     for i in range(n - 1, -1, -1):
@@ -142,16 +165,16 @@ class Model:
         out = np.zeros((len(words), len(self.labels)))
         for block, codes in _by_length(words):
             m, n = codes.shape
-            alpha = _forward(self.pieces.lookup(codes), self.probs, n, m)
-            out[block] = np.log(np.maximum(alpha[-1], 1e-300))
+            out[block] = _forward_log(self.pieces.lookup(codes), self.probs, n, m)
         return out
 
 
 def marked_words(text: str) -> list[str]:
+    """Runs of letters in lower case. Python's word characters hold other numerals too, as in ½."""
     words = _LETTERS.findall(text.lower())
-    if max(map(len, words), default=0) > RUN:
-        words = [w[k : k + RUN] for w in words for k in range(0, len(w), RUN)]
-    return words
+    if all(map(str.isalpha, words)):
+        return words
+    return [w for run in words for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def fit(
@@ -172,12 +195,13 @@ def fit(
     if not labels:
         return Model([], pieces, np.zeros((len(pieces.pieces) + 1, 0)))
     each = max(1, sample_rows // len(labels))
-    sample = None
+    chosen = F.lit(False)
     for k in labels:
-        own = bounded_sample(rows.where(F.col("label") == k), F.col("t"), each, counts[k])
-        sample = own if sample is None else sample.unionByName(own)
+        chosen = F.when(F.col("label") == k, low_hash(F.col("t"), each, counts[k])).otherwise(chosen)
+    # A text that many rows repeat is one text of the sample.
+    sample = rows.where(chosen).distinct()
     words = sample.select(
-        "label", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}{1,%d}" % RUN), F.lit(0))).alias("w")
+        "label", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}{1,%d}" % FIT_RUN), F.lit(0))).alias("w")
     )
     table = words.groupBy("label", "w").count().toArrow().to_pydict()
     place = {w: i for i, w in enumerate(dict.fromkeys(table["w"]))}
