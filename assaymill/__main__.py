@@ -3,10 +3,14 @@
     python -m assaymill validate --root hdfs:///lake --source ecommerce
     python -m assaymill silver   --root hdfs:///lake --fail-on-audit
     python -m assaymill gold     --root hdfs:///lake --reference-date 2018-10-17
+    python -m assaymill incremental --root hdfs:///lake
+    python -m assaymill vacuum   --root hdfs:///lake --keep 2
+    python -m assaymill fold     --root hdfs:///lake
     python -m assaymill compact  --root hdfs:///lake --table weather_events
     python -m assaymill stream   --root hdfs:///lake --servers host:9092 --topic weather_events
 
-With ``spark-submit``, pass the zipped package as ``--py-files`` and this file as the script.
+``--versioned`` makes silver and gold publish versions and the stream write the merge-on-read view;
+``incremental``, ``vacuum`` and ``fold`` work on those only. With ``spark-submit``, pass the zipped package as ``--py-files`` and this file as the script.
 """
 
 from __future__ import annotations
@@ -17,11 +21,13 @@ import sys
 from pyspark.sql import functions as F
 
 from assaymill.operators import validation, weather
-from assaymill.plans import jobs
+from assaymill.plans import incremental, jobs
 from assaymill.session import build_session
 from assaymill.sources.schemas import RAW_TABLES
 from assaymill.sources.tables import Lake, compact_small_files
+from assaymill.sources.versions import VersionedLake
 from assaymill.streaming import events
+from assaymill.streaming.merge_view import MergeOnReadView, batch_of
 from assaymill.streaming.unified import UnifiedView
 
 TABLE = "weather_events"
@@ -29,13 +35,16 @@ TABLE = "weather_events"
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="assaymill")
-    parser.add_argument("job", choices=["validate", "silver", "gold", "compact", "stream"])
+    jobs_there = ["validate", "silver", "gold", "incremental", "vacuum", "compact", "stream", "fold"]
+    parser.add_argument("job", choices=jobs_there)
     parser.add_argument("--root", required=True, help="folder that holds the lake's layers")
     parser.add_argument("--table-prefix", default="")
     parser.add_argument("--mode", choices=["local", "single", "cluster"], default="cluster")
     parser.add_argument("--source", choices=["ecommerce", "weather", "all"], default="all")
     parser.add_argument("--register-version", type=int, help="record the observed schemas")
     parser.add_argument("--fail-on-audit", action="store_true")
+    parser.add_argument("--versioned", action="store_true", help="publish versions of a layer")
+    parser.add_argument("--keep", type=int, default=2, help="versions that vacuum keeps")
     parser.add_argument("--reference-date", default="2018-10-17")
     parser.add_argument("--table", default=TABLE)
     parser.add_argument("--servers")
@@ -61,6 +70,11 @@ def run_validate(spark, lake: Lake, args: argparse.Namespace) -> int:
     return 0 if report.filter(~F.col("passed")).isEmpty() else 1
 
 
+def merged_view(spark, lake: VersionedLake) -> MergeOnReadView:
+    batch = batch_of(lake.layer(spark, "silver"), "weather_enriched")
+    return MergeOnReadView(f"{lake.silver_stream('weather_unified')}", batch)
+
+
 def run_stream(spark, lake: Lake, args: argparse.Namespace) -> int:
     """Raw log and unified view as two queries, until one of them ends."""
     trigger = {"processingTime": args.trigger}
@@ -81,11 +95,14 @@ def run_stream(spark, lake: Lake, args: argparse.Namespace) -> int:
         events.well_formed(decoded(events.stateful_session(spark)))
     )
     kept = events.within_watermark(live, "datetime_utc", ["city_name", "unix_timestamp"])
-    view = UnifiedView(
-        lake.silver("weather_enriched"),
-        lake.silver_stream("weather_realtime"),
-        lake.gold("lambda_weather_unified"),
-    )
+    if isinstance(lake, VersionedLake):
+        view = merged_view(spark, lake)
+    else:
+        view = UnifiedView(
+            lake.silver("weather_enriched"),
+            lake.silver_stream("weather_realtime"),
+            lake.gold("lambda_weather_unified"),
+        )
     unified = view.run(kept, f"{checkpoints}/streaming_unified", trigger, wait=False)
     try:
         spark.streams.awaitAnyTermination()
@@ -98,7 +115,8 @@ def run_stream(spark, lake: Lake, args: argparse.Namespace) -> int:
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     spark = build_session(f"assaymill-{args.job}", args.mode)
-    lake = Lake(args.root.rstrip("/"), args.table_prefix)
+    versioned = args.versioned or args.job in ("incremental", "vacuum", "fold")
+    lake = (VersionedLake if versioned else Lake)(args.root.rstrip("/"), args.table_prefix)
     if args.job == "validate":
         return run_validate(spark, lake, args)
     if args.job == "silver":
@@ -106,6 +124,14 @@ def main(argv: list[str] | None = None) -> int:
         jobs.run_silver(spark, lake, options).show(truncate=False)
     elif args.job == "gold":
         jobs.run_gold(spark, lake, args.reference_date)
+    elif args.job == "incremental":
+        incremental.run_incremental(spark, lake, jobs.SilverOptions(fail_on_audit=args.fail_on_audit))
+    elif args.job == "vacuum":
+        for name in ("silver", "gold"):
+            lake.layer(spark, name).vacuum(args.keep)
+        merged_view(spark, lake).expire(spark)
+    elif args.job == "fold":
+        merged_view(spark, lake).fold(spark)
     elif args.job == "compact":
         source = lake.raw_stream(args.table)
         compact_small_files(spark, source, f"{source}_compacted")
