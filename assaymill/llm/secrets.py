@@ -14,6 +14,7 @@ one row; repeated rows repeat.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,38 +46,74 @@ ALLOWED_BEFORE = r"(?i)((sha-?(1|256|512)|md5|checksum|digest|etag)[:=\-]|https?
 BEFORE = 12
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 REDACTED = "[secret]"
+#: Numbers that one fold appends, and spans that one part of a text holds.
+RUN = 128
 SCALE = 1_000_000  # entropies are summed in whole millionths, so that no rounding adds up
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(numbers: Column) -> Column:
+    """The sum up to each place of ``numbers``, itself included.
+
+    A fold that appends copies its array at every step, so sums run over blocks of ``RUN`` numbers
+    and once over the blocks' totals.
+    """
+
+    def sums(values: Column) -> Column:
+        start = F.array(F.lit(0).cast("bigint"))
+        grown = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
+        return F.aggregate(values, start, grown)
+
+    def joined(blocks: Column, before: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                blocks,
+                lambda block, k: F.transform(F.slice(block, 2, RUN), lambda x: x + F.get(before, k)),
+            )
+        )
+
+    def split(values: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int"))
+        blocks = F.transform(at, lambda k: sums(F.slice(values, k * RUN + 1, F.lit(RUN))))
+        totals = lambda made: sums(F.transform(made, lambda block: F.element_at(block, -1)))
+        return _let(blocks, lambda made: _let(totals(made), lambda before: joined(made, before)))
+
+    none = F.array().cast("array<bigint>")
+    return _let(numbers.cast("array<bigint>"), lambda v: F.when(F.size(v) > 0, split(v)).otherwise(none))
+
+
 def _spans(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost non-overlapping matches as ``(begin, kind, end, match, before)``.
 
-    Splitting by the pattern gives the gaps; matches and gaps in turn give the positions.
+    Splitting by the pattern gives the gaps; the lengths of gaps and matches sum up to positions.
     """
     none = F.array().cast("array<struct<begin:int,kind:int,end:int,match:string,before:string>>")
-    regex = F.lit(pattern)
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(text, regex, F.lit(0)).alias("m"),
-        F.split(text, pattern, -1).alias("g"),
+    pairs = F.filter(
+        F.arrays_zip(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
+            F.split(text, pattern, -1).alias("g"),
+        ),
+        lambda p: p["m"].isNotNull(),
     )
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + F.char_length(p["g"])
-        end = begin + F.char_length(p["m"])
-        span = F.struct(
-            begin.alias("begin"),
+    def span(p: Column, end: Column) -> Column:
+        return F.struct(
+            (end - F.char_length(p["m"])).cast("int").alias("begin"),
             F.lit(kind).alias("kind"),
-            end.alias("end"),
+            end.cast("int").alias("end"),
             p["m"].alias("match"),
             F.right(p["g"], F.lit(BEFORE)).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.when(
-        text.rlike(pattern),
-        F.aggregate(F.filter(pairs, lambda p: p["m"].isNotNull()), start, step, lambda a: a["out"]),
-    ).otherwise(none)
+    def placed(found: Column) -> Column:
+        lengths = F.transform(found, lambda p: F.char_length(p["g"]) + F.char_length(p["m"]))
+        return F.zip_with(found, _running(lengths), span)
+
+    return F.when(text.rlike(pattern), _let(pairs, placed)).otherwise(none)
 
 
 def terms() -> list[int]:
@@ -152,23 +189,51 @@ def _slim(spans: Column) -> Column:
     )
 
 
-def _outside(e: Column, base: Column) -> Column:
-    """The parts of the span ``e`` that no span of ``base`` covers."""
+def _events(spans: Column, of: int) -> Column:
+    """Where the spans begin (1) and end (-1), as ``(at, step, of)``."""
+
+    def event(place: str, step: int) -> Column:
+        return F.transform(
+            spans,
+            lambda s: F.struct(s[place].alias("at"), F.lit(step).alias("step"), F.lit(of).alias("of")),
+        )
+
+    return F.concat(event("begin", 1), event("end", -1))
+
+
+def _outside(extra: Column, base: Column) -> Column:
+    """The parts of the spans ``extra`` that no span of ``base`` covers.
+
+    Between two neighbouring ends of spans everything is covered alike, so the ends are sorted
+    and the open spans of either kind counted along them.
+    """
     none = F.array().cast("array<struct<begin:int,kind:int,end:int>>")
-    over = F.array_sort(F.filter(base, lambda b: (b["begin"] < e["end"]) & (e["begin"] < b["end"])))
-    start = F.struct(e["begin"].alias("at"), none.alias("out"))
 
-    def part(begin: Column, end: Column) -> Column:
-        span = F.struct(begin.alias("begin"), F.lit(3).alias("kind"), end.alias("end"))
-        return F.when(begin < end, F.array(span)).otherwise(none)
+    def open_(events: Column, of: int) -> Column:
+        return _running(F.transform(events, lambda e: F.when(e["of"] == of, e["step"]).otherwise(0)))
 
-    def step(acc: Column, b: Column) -> Column:
-        return F.struct(
-            F.greatest(acc["at"], b["end"]).alias("at"),
-            F.concat(acc["out"], part(acc["at"], b["begin"])).alias("out"),
-        )
+    def parts(events: Column) -> Column:
+        def part(e: Column, i: Column) -> Column:
+            return F.struct(
+                e["at"].alias("begin"), F.lit(3).alias("kind"), F.get(events, i + 1)["at"].alias("end")
+            )
 
-    return F.aggregate(over, start, step, lambda a: F.concat(a["out"], part(a["at"], e["end"])))
+        def free(wanted: Column, covered: Column) -> Column:
+            counted = F.arrays_zip(
+                F.transform(events, part).alias("p"), wanted.alias("wanted"), covered.alias("covered")
+            )
+            kept = F.filter(
+                counted,
+                lambda x: (x["wanted"] > 0) & (x["covered"] == 0) & (x["p"]["begin"] < x["p"]["end"]),
+            )
+            return F.transform(kept, lambda x: x["p"])
+
+        return _let(open_(events, 1), lambda w: _let(open_(events, 0), lambda c: free(w, c)))
+
+    events = F.array_sort(F.concat(_events(extra, 1), _events(base, 0)))
+    return (
+        F.when(F.size(extra) == 0, none).when(F.size(base) == 0, extra).otherwise(_let(events, parts))
+    )
 
 
 def find(df: DataFrame, text: str = "text", into: str = "secret_spans") -> DataFrame:
@@ -212,7 +277,7 @@ def find(df: DataFrame, text: str = "text", into: str = "secret_spans") -> DataF
         ),
     )
     row = row.select("row", "base", extra.alias("extra"))
-    parts = F.flatten(F.transform("extra", lambda e: _outside(e, F.col("base"))))
+    parts = _outside(F.col("extra"), F.col("base"))
     return row.select("row.*", F.array_sort(F.concat("base", parts)).alias(into))
 
 
@@ -243,21 +308,56 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+def _united(spans: Column) -> Column:
+    """``(begin, end)`` of the union of ``spans``; spans that only touch stay apart."""
+
+    def edges(events: Column, depths: Column) -> Column:
+        zipped = F.zip_with(
+            events, depths, lambda e, d: F.struct(e["at"].alias("at"), e["step"].alias("step"), d.alias("depth"))
+        )
+        opened = lambda z: F.filter(z, lambda x: (x["step"] == 1) & (x["depth"] == 1))
+        closed = lambda z: F.filter(z, lambda x: x["depth"] == 0)
+        pair = lambda o, c: F.struct(o["at"].alias("begin"), c["at"].alias("end"))
+        return _let(zipped, lambda z: F.zip_with(opened(z), closed(z), pair))
+
+    # At one place ends come before beginnings.
+    steps = lambda events: _running(F.transform(events, lambda e: e["step"]))
+    return _let(F.array_sort(_events(spans, 0)), lambda events: edges(events, steps(events)))
+
+
+def _without(text: Column, spans: Column, with_: str) -> Column:
+    """``text`` with ``with_`` for each of the disjoint, sorted ``spans``.
+
+    A place in a text is found by reading up to it, so pieces are cut from parts of the text that
+    hold ``RUN`` spans each.
+    """
+
+    def end_before(i: Column) -> Column:
+        return F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))
+
+    def cut(part: Column, k: Column) -> Column:
+        origin = end_before(k * RUN)
+
+        def piece(s: Column, i: Column) -> Column:
+            begin = end_before(k * RUN + i)
+            return F.concat(F.substring(part, begin - origin + 1, s["begin"] - begin), F.lit(with_))
+
+        return F.array_join(F.transform(F.slice(spans, k * RUN + 1, F.lit(RUN)), piece), "")
+
+    def part(k: Column) -> Column:
+        origin = end_before(k * RUN)
+        last = end_before(F.least((k + 1) * RUN, F.size(spans)))
+        return _let(F.substring(text, origin + 1, last - origin), lambda p: cut(p, k))
+
+    at = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / RUN).cast("int"))
+    rest = F.substring(text, end_before(F.size(spans)) + 1, F.char_length(text))
+    return F.concat(F.array_join(F.transform(at, part), ""), rest)
+
+
 def redact(df: DataFrame, text: str = "text", with_: str = REDACTED) -> DataFrame:
     """``df`` with every span in ``text`` replaced by ``with_``; overlapping spans become one."""
     found = find(df, text, "__spans")
     t = F.col(f"`{text}`")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(t, acc["at"] + 1, s["begin"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["begin"] < acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], gap, F.lit(with_)))
-            .alias("out"),
-        )
-
-    rest = lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.char_length(t)))
-    cut = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, step, rest)).otherwise(t)
+    without = _let(_united(F.col("__spans")), lambda spans: _without(t, spans, with_))
+    cut = F.when(F.size("__spans") > 0, without).otherwise(t)
     return found.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
