@@ -194,10 +194,6 @@ class Codec:
         self.words = build_tokenizer(model, prefix=False) if self.by_word else None
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self._raw = [
-            bytes([int(p.text[3:-1], 16)]) if p.kind == BYTE else p.text.replace(MARK, " ").encode()
-            for p in model.pieces
-        ]
         # Ids by word in two halves, and the words of the newer half that stand out.
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -258,26 +254,21 @@ class Codec:
         ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
         # The original sees the word without the blank that it puts in front itself.
         other = self.original.encode([w[1:] for w in words], num_threads=self.threads)
-        unsure = []
-        raw = self._raw.__getitem__
         for w, i, o in zip(words, ids, other):
             self._known[w] = array("i", i).tobytes()
             # A lone marker is no text to the original library, but a piece inside one.
             if i != o and w != " ":
                 self._unequal.add(w)
-            if b"".join(map(raw, i)) != w.encode("utf-8", "replace"):
-                unsure.append((w, i))
-        if unsure:
-            for (w, _), d in zip(unsure, self.decode([i for _, i in unsure])):
-                if " " + d != w:
-                    self._changed.add(w)
+        # Decoding takes off the blank that stands for the marker of the first word.
+        self._changed.update(w for w, d in zip(words, self.decode(ids)) if " " + d != w)
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def encode(df: DataFrame, model_path: str, text: str = "text", threads: int | None = None) -> DataFrame:
     """Append ``token_ids``, ``n_tokens``, ``parity`` and ``round_trip`` for each whole text.
 
     ``parity``: the original library gives the same ids. ``round_trip``: decoding the ids gives
-    the text back. All four are NULL for NULL texts.
+    the text back. All four are NULL for NULL texts. A batch is encoded by ``threads`` threads, as
+    many as Spark gives a task (``spark.task.cpus``) if not set.
     """
     fields = [
         T.StructField("token_ids", T.ArrayType(T.IntegerType())),
@@ -285,7 +276,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
         T.StructField("parity", T.BooleanType()),
         T.StructField("round_trip", T.BooleanType()),
     ]
-    threads = int(df.sparkSession.conf.get("spark.task.cpus", "1"))
+    threads = threads or int(df.sparkSession.conf.get("spark.task.cpus", "1"))
     data = model_bytes(model_path)
 
     def start():

@@ -251,6 +251,19 @@ def _publish(spark: SparkSession, folder: str, staged: str) -> None:
     hadoop.delete(path(f"{folder}/_temporary"), True)
 
 
+class _Checked:
+    """A stream that knows the size and the digest of what was read from it."""
+
+    def __init__(self, stream):
+        self.stream, self.size, self.sha = stream, 0, hashlib.sha256()
+
+    def read(self, most: int) -> bytes:
+        data = self.stream.read(most)
+        self.size += len(data)
+        self.sha.update(data)
+        return data
+
+
 def _members(stream) -> Iterator[bytes]:
     """The gzip members of a stream, one after another."""
     unzip, parts = zlib.decompressobj(31), []
@@ -293,7 +306,8 @@ def _page(fields: dict[str, str], block: bytes) -> dict:
 def read_archive(spark: SparkSession, folder: str, payload: bool = False) -> DataFrame:
     """The records of the files that the manifest names, a file at a time per task.
 
-    With ``payload`` the responses' payloads too. Payloads are checked against their digests.
+    With ``payload`` the responses' payloads too. Payloads are checked against their digests, and
+    files against their manifest entries: a file that is cut, changed or missing is an error.
     """
     ship_package(spark)
     manifest = spark.read.schema(ENTRY).parquet(f"{folder}/_manifest")
@@ -305,18 +319,24 @@ def read_archive(spark: SparkSession, folder: str, payload: bool = False) -> Dat
         types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
         shape = pa.schema([(n, types.get(n, pa.string())) for n in names])
         for batch in batches:
-            for name in batch.column("name").to_pylist():
-                rows, size = [], 0
-                with fs.open_input_stream(f"{root}/{name}", compression=None) as stream:
+            for entry in batch.to_pylist():
+                name = entry["name"]
+                rows, size, records = [], 0, 0
+                with fs.open_input_stream(f"{root}/{name}", compression=None) as opened:
+                    stream = _Checked(opened)
                     for fields, block in map(parse_record, _members(stream)):
                         if fields["WARC-Type"] == "warcinfo":
                             continue
+                        records += 1
                         row = _page(fields, block)
                         rows.append({n: row[n] for n in names})
                         size += len(row["payload"] or b"") if payload else 100
                         if size > 8_000_000:
                             yield pa.RecordBatch.from_pylist(rows, schema=shape)
                             rows, size = [], 0
+                found = {"records": records, "bytes": stream.size, "sha256": stream.sha.hexdigest()}
+                if found != {k: entry[k] for k in found}:
+                    raise ValueError(f"{name} is not the file of the manifest: {found}")
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
