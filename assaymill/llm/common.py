@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaymill.session import scratch_path, scratch_scope
+
 Arrays = list[pa.Array]
 
 
@@ -22,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, written and read back; tables written on the way are dropped."""
+    path = scratch_path(spark, name)
+    with scratch_scope(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Bytes of a batch that are worked on at a time (a single row may be larger).
 SLICE_BYTES = 4 << 20
 
