@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaymill.operators.bloom import possible_matches
 from assaymill.operators.clean import require_keys
-from assaymill.session import MB, literal_rows
+from assaymill.session import BROADCAST_LIMIT_BYTES, literal_rows, materialize
 
-BROADCAST_LIMIT_BYTES = 50 * MB
 HEAVY_KEYS_TRACKED = 65_536
 HEAVY_SHARE = 1 / 2_048
 
@@ -92,20 +92,33 @@ def skew_join(
     return joined
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` to append: key set, one per key, key not yet in ``target``."""
-    fresh = require_keys(incoming, keys).dropDuplicates(list(keys))
+def insert_if_absent(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], prune: bool = False
+) -> DataFrame:
+    """Rows of ``incoming`` to append: key set, one per key, key not yet in ``target``.
+
+    ``prune`` is for a long target: the incoming rows are stored and counted now, and of the target
+    only rows whose key may be among theirs are shuffled, by a Bloom filter of the incoming keys.
+    """
+    keys = list(keys)
+    fresh = require_keys(incoming, keys).dropDuplicates(keys)
+    if prune:
+        fresh = materialize(fresh, "incoming")
+        target = possible_matches(target, fresh, keys, fresh.count())
     known = target.select(*keys).dropDuplicates()
-    return fresh.join(known, list(keys), "left_anti")
+    return fresh.join(known, keys, "left_anti")
 
 
 def count_orphans(
-    tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str]]
+    tables: dict[str, DataFrame],
+    references: Sequence[tuple[str, str, str]],
+    prune: bool = False,
 ) -> DataFrame:
     """Child rows and orphans per ``(child, fk, parent)``; the parent's key has the fk's name.
 
     Child rows are counted per key first, so a hot key crosses the shuffle as one row. All
-    references to one parent share a single join.
+    references to one parent share a single join. ``prune`` is for parents far longer than their
+    children: the counted child keys are stored now and only parent rows that may match are shuffled.
     """
     by_parent: dict[tuple[str, str], list[DataFrame]] = {}
     for child, fk, parent in references:
@@ -118,15 +131,14 @@ def count_orphans(
         by_parent.setdefault((parent, fk), []).append(per_key)
     parts = []
     for (parent, fk), children in by_parent.items():
-        known = (
-            tables[parent]
-            .select(F.col(fk).alias("_key"))
-            .dropDuplicates()
-            .withColumn("_known", F.lit(True))
-        )
+        counted = reduce(DataFrame.unionByName, children)
+        parent_keys = tables[parent].select(F.col(fk).alias("_key"))
+        if prune:
+            counted = materialize(counted, "child-keys")
+            parent_keys = possible_matches(parent_keys, counted, ["_key"], counted.count())
+        known = parent_keys.dropDuplicates().withColumn("_known", F.lit(True))
         parts.append(
-            reduce(DataFrame.unionByName, children)
-            .join(known, "_key", "left")
+            counted.join(known, "_key", "left")
             .groupBy("child")
             .agg(
                 F.sum("_n").alias("child_rows"),

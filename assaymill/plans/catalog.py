@@ -27,6 +27,8 @@ HISTORY_ENDS = "1999-01-10"
 LATE_BEFORE = "2024-01-15"
 # Splits what is on time once more.
 MIDDLE = "2024-01-08"
+# Order lines shipped from this day on arrive late.
+LATE_SHIPMENTS = "2001-06-01"
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -226,6 +228,16 @@ def insert_if_absent(x: Inputs) -> DataFrame:
     return old.unionByName(joins.insert_if_absent(old, new, ["order_id"]))
 
 
+@query
+def bloom_insert_if_absent(x: Inputs) -> DataFrame:
+    """A few late shipments, half of them known, against the history of all order lines."""
+    keys, lines = ["l_orderkey", "l_linenumber"], x.table("lineitem")
+    late = lines.filter(F.col("l_shipdate") >= F.lit(LATE_SHIPMENTS).cast("date")).select(*keys)
+    moved = F.when(F.col("l_orderkey") % 2 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    arriving = late.withColumn("l_orderkey", moved.cast(lines.schema["l_orderkey"].dataType))
+    return joins.insert_if_absent(lines, arriving.unionAll(arriving), keys, prune=True)
+
+
 @query
 def incremental_append(x: Inputs) -> DataFrame:
     path, cursor = x.scratch("orders-incremental"), RAW_TABLES["orders"].cursor

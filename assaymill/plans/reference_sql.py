@@ -248,6 +248,12 @@ SELECT order_id, order_status, updated_at FROM raw_orders WHERE order_status = '
 UNION ALL
 SELECT order_id, order_status, updated_at FROM raw_orders WHERE order_status <> 'created'
   AND order_id NOT IN (SELECT order_id FROM raw_orders WHERE order_status = 'created')""",
+    "bloom_insert_if_absent": """
+SELECT DISTINCT l_orderkey, l_linenumber FROM (
+  SELECT CASE WHEN l_orderkey % 2 = 0 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey, l_linenumber
+  FROM lineitem WHERE l_shipdate >= DATE '2001-06-01') AS a
+WHERE NOT EXISTS (SELECT 1 FROM lineitem AS h
+  WHERE h.l_orderkey = a.l_orderkey AND h.l_linenumber = a.l_linenumber)""",
     "incremental_append": """
 SELECT order_id, order_status, order_purchase_timestamp,
   CASE WHEN order_purchase_timestamp < '1999' THEN '2001-12-30' ELSE '2001-12-31' END AS sync_date

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from assaymill.operators.clean import blank_to_null, require_keys
 from assaymill.operators.joins import insert_if_absent
+from assaymill.session import scratch_scope
 from assaymill.sources.csv_splits import CORRUPT, read_csv_splits
 
 # Error conditions that mean there is no table yet.
@@ -94,12 +95,12 @@ def load_csv(
     )
     rows = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     existing = read_if_exists(spark, target)
-    if keys:
-        if existing is None:
+    with scratch_scope(spark):
+        if keys and existing is None:
             rows = require_keys(rows, keys).dropDuplicates(list(keys))
-        else:
-            rows = insert_if_absent(existing, rows, keys)
-    rows.write.mode("append").parquet(target)
+        elif keys:
+            rows = insert_if_absent(existing, rows, keys, prune=True)
+        rows.write.mode("append").parquet(target)
     return rejects.get["rows"]
 
 
