@@ -18,7 +18,7 @@ from assaymill.plans.bronze_views import SOURCE_TABLES, raw_view, source_table,
 from assaymill.session import materialize, scratch_path
 from assaymill.sources import loads, tables, versions
 from assaymill.sources.schemas import RAW_TABLES, RawTable
-from assaymill.streaming import events, merge_view, unified
+from assaymill.streaming import enrichment, events, lateness, merge_view, unified
 
 RFM_REFERENCE_DATE = "2001-12-31"
 # Splits the weather feed (January 1999) into a history and what arrives later.
@@ -918,3 +918,41 @@ def stream_static_enrich(x: Inputs) -> DataFrame:
         enriched.select("unix_timestamp", "date_key", "temperature_celsius", "total_orders"),
         "enriched",
     )
+
+
+@query
+def stream_late_accounted(x: Inputs) -> DataFrame:
+    """As ``stream_late_data``, but nothing is dropped: repeats meet in the view, late rows aside."""
+    add, stream = _staged(x, "accounted-topic")
+    view = merge_view.MergeOnReadView(x.scratch("accounted-view"), enrichment.no_batch, ["event_id"])
+    ledger, checkpoint = lateness.LateLedger(x.scratch("ledger"), "ts"), x.scratch("accounted-checkpoint")
+    everything = x.table("events")
+    for arriving in (everything.filter(F.col("ts") >= F.lit(LATE_BEFORE).cast("timestamp_ntz")), everything):
+        add(arriving)
+        ledger.run(stream().select("event_id", "ts", "event_type"), view.append, checkpoint)
+    late = ledger.late_rows(x.spark).select("event_id", "ts", "event_type", F.lit("late").alias("outcome"))
+    kept = view.read(x.spark).select("event_id", "ts", "event_type", F.lit("kept").alias("outcome"))
+    account = ledger.accounts(x.spark).agg(F.sum("read"), F.sum("kept"), F.sum("late")).first()
+    totals = zip(("rows_read", "rows_kept", "rows_late"), account)
+    return kept.unionByName(late).withColumns({name: F.lit(n).cast("bigint") for name, n in totals})
+
+
+@query
+def stream_enrich_versions(x: Inputs) -> DataFrame:
+    """The sales table gets a new version between two runs of the stream; the second one sees it."""
+    layer = versions.VersionedLayer(x.spark, x.scratch("sales-layer"))
+    daily = materialize(kpis.daily_orders(x.orders).select("date_key", "total_orders"), "daily-orders")
+    add, stream = _staged(x, "enrich-topic")
+    sink = merge_view.MergeOnReadView(x.scratch("enriched-view"), enrichment.no_batch)
+    checkpoint, everything = x.scratch("enrich-checkpoint"), x.table("events")
+    middle = F.lit(MIDDLE).cast("timestamp_ntz")
+    for number, arriving in enumerate((F.col("ts") < middle, F.col("ts") >= middle)):
+        sales = daily.withColumn("total_orders", F.col("total_orders") + 1000 * number)
+        versions.publish_snapshot(sales, layer, "daily_sales")
+        add(everything.filter(arriving))
+        decoded = events.well_formed(events.decode_events(weather_messages(stream())))
+        readings = weather.conform_weather(decoded).select(
+            "city_name", "unix_timestamp", "datetime_utc", "temperature_celsius", "year", "month"
+        )
+        enrichment.run_enrichment(readings, merge_view.batch_of(layer, "daily_sales"), sink.append, checkpoint)
+    return sink.read(x.spark).select("unix_timestamp", "date_key", "temperature_celsius", "total_orders")

@@ -590,6 +590,28 @@ SELECT city_name, unix_timestamp, temperature_celsius, weather_category, origin,
     "stream_static_enrich": """
 SELECT unix_timestamp, strftime(datetime_utc, '%Y%m%d') AS date_key, temperature_celsius, total_orders
 FROM conformed LEFT JOIN sales_days ON strftime(datetime_utc, '%Y%m%d') = date_key""",
+    "stream_late_accounted": f"""
+WITH judged AS (
+  SELECT event_id, ts, event_type, ts >= TIMESTAMP '2024-01-15' AS first,
+    ts < (SELECT max(ts) FROM events WHERE ts >= TIMESTAMP '2024-01-15') - INTERVAL '2' HOUR AS late
+  FROM events),
+account AS (
+  SELECT count(*) + count(*) FILTER (WHERE first) AS rows_read,
+    count(*) FILTER (WHERE first) + count(*) FILTER (WHERE NOT late) AS rows_kept,
+    count(*) FILTER (WHERE late) AS rows_late
+  FROM judged)
+SELECT event_id, {_shown('ts')}, event_type, outcome, rows_read, rows_kept, rows_late FROM (
+  SELECT event_id, ts, event_type, 'kept' AS outcome FROM judged WHERE first OR NOT late
+  UNION ALL SELECT event_id, ts, event_type, 'late' FROM judged WHERE late), account""",
+    "stream_enrich_versions": """
+SELECT unix_timestamp, c.date_key, temperature_celsius,
+  total_orders + CASE WHEN datetime_utc < TIMESTAMP '1999-01-08' THEN 0 ELSE 1000 END AS total_orders
+FROM (
+  SELECT unix_timestamp, datetime_utc, strftime(datetime_utc, '%Y%m%d') AS date_key, temperature_celsius,
+    row_number() OVER (PARTITION BY city_name, unix_timestamp ORDER BY temperature_celsius DESC) AS rn
+  FROM conformed) AS c
+  LEFT JOIN sales_days AS s ON c.date_key = s.date_key
+WHERE rn = 1""",
 }
 _TYPE_NAME = """CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
     WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'

@@ -41,6 +41,8 @@ RUN_SHIFT = 40
 AT = "_at"
 
 Batch = Callable[[SparkSession], tuple[str, DataFrame | None]]
+#: Takes a micro-batch, its run's id and its number; a second call with the same two adds nothing.
+Sink = Callable[[DataFrame, str, int], object]
 
 
 def batch_at(path: str) -> Batch:
@@ -80,6 +82,45 @@ def _same(columns: Sequence[str], prefix: str) -> Column:
     return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns])
 
 
+def run_number(spark: SparkSession, root: str, run_id: str) -> int:
+    """The number of a run, from 1 on, given when the run is first seen below ``root``."""
+    runs = Folder(spark, f"{root}/runs")
+    while True:
+        seen = sorted(name for name, _, _ in runs.entries() if name.endswith(".run"))
+        for name in seen:
+            if runs.read(name) == run_id:
+                return int(name.removesuffix(".run"))
+        number = int(seen[-1].removesuffix(".run")) + 1 if seen else 1
+        if runs.put_if_absent(f"{number:06d}.run", run_id):
+            return number
+
+
+def stream_into(
+    stream: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None = None, wait: bool = True
+):
+    """Start a stream whose micro-batches go to ``sink`` with the run's id and their number."""
+    ids: list[str] = []
+
+    def on_micro_batch(df: DataFrame, batch_id: int) -> None:
+        # The query writes its id before its first batch.
+        if not ids:
+            ids.append(query_id(df.sparkSession, checkpoint))
+        sink(df, ids[0], batch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(on_micro_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+    if wait:
+        try:
+            query.awaitTermination()
+        finally:
+            query.stop()
+    return query
+
+
 class MergeOnReadView:
     """Delta log, folded base and merged view below ``root``."""
 
@@ -95,16 +136,7 @@ class MergeOnReadView:
     # --- writing -----------------------------------------------------------------------------
 
     def run_number(self, spark: SparkSession, run_id: str) -> int:
-        """The number of a run, from 1 on, given when the run is first seen."""
-        runs = Folder(spark, f"{self.root}/runs")
-        while True:
-            seen = sorted(name for name, _, _ in runs.entries() if name.endswith(".run"))
-            for name in seen:
-                if runs.read(name) == run_id:
-                    return int(name.removesuffix(".run"))
-            number = int(seen[-1].removesuffix(".run")) + 1 if seen else 1
-            if runs.put_if_absent(f"{number:06d}.run", run_id):
-                return number
+        return run_number(spark, self.root, run_id)
 
     def append(self, micro_batch: DataFrame, run_id: str, batch_id: int) -> bool:
         """Append a micro-batch as a delta; False if this run's batch is there already."""
@@ -123,26 +155,7 @@ class MergeOnReadView:
         self, stream: DataFrame, checkpoint: str, trigger: dict | None = None, wait: bool = True
     ):
         """Start the stream of conformed rows into the delta log."""
-        ids: list[str] = []
-
-        def on_micro_batch(df: DataFrame, batch_id: int) -> None:
-            # The query writes its id before its first batch.
-            if not ids:
-                ids.append(query_id(df.sparkSession, checkpoint))
-            self.append(df, ids[0], batch_id)
-
-        query = (
-            stream.writeStream.foreachBatch(on_micro_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
-        if wait:
-            try:
-                query.awaitTermination()
-            finally:
-                query.stop()
-        return query
+        return stream_into(stream, self.append, checkpoint, trigger, wait)
 
     # --- reading -----------------------------------------------------------------------------
 
