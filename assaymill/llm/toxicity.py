@@ -1,10 +1,13 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Word transducers map tokens to symbols: insult, threat, target, negation, reported speech and
-quotation, or other. A clause transducer reads the symbols of one clause from left to right
-and adds weights on its arcs: an insult weighs its lexical weight, more with a target near by,
-less within the scope of a negation or in reported speech; a threat weighs only with a target
-near by. A document's evidence is that of its heaviest clause and a little for each more.
+A word transducer maps tokens to symbols with a lexical weight: insult, threat, target, negation,
+reported speech, quotation, or other. Three transducers read the symbols of one clause, each a table
+of arcs with factors: ``negation`` lowers what follows a negation, ``speech`` what is reported or
+quoted, and ``address`` raises an insult with a target near by and lets a threat count only with one.
+Where the target may still come, ``address`` has two arcs, one of which promises it; a path that breaks
+its promise ends. Composition multiplies the factors of a token, a path adds factor times lexical
+weight, and the best path that ends in a final state is the clause's weight. A document's evidence is
+that of its heaviest clause and a little for each more.
 
 The insult transducer's entries are a short public seed list and words and word beginnings
 learned from labelled texts: weight is the log odds of the label, support is counted in texts
@@ -13,7 +16,7 @@ sample that is learned from has about ``SAMPLE_ROWS`` rows. A logistic curve fit
 same sample turns evidence into a score.
 
 NULL and empty texts have no evidence and the lowest score there is. Without labels the seed
-list and fixed curve are used.
+list and fixed curve are used; there a seed word alone, negated or reported stays below one half.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -56,15 +60,16 @@ TARGETS = (
     "you your yours u he she they him her them tu toi vous ton ta votre il elle ils elles "
     "usted ustedes te ti él ella ellos ellas du dich dir euch sie ihr dein deine"
 ).split()
-NEGATIONS = "not no never n't isn't aren't wasn't don't ne pas jamais nunca tampoco nicht kein keine nie".split()
+NEGATIONS = "not no never ne pas jamais nunca tampoco nicht kein keine nie".split()
 REPORTS = (
-    "said says say told wrote claims claimed quoted reported dit disait écrit affirme "
+    "said says say told called wrote claims claimed quoted reported dit disait écrit affirme "
     "dijo dice escribió afirma sagte sagt schrieb behauptet"
 ).split()
+APOSTROPHE = "’"
 QUOTES = "\"“”„«»"
 
 SEED_WEIGHT = 4.0
-THREAT_WEIGHT = 4.0
+THREAT_WEIGHT = 5.0
 #: Factors on a weight: with a target near by, negated, reported.
 TARGETED, NEGATED, REPORTED = 1.25, 0.6, 0.7
 #: Tokens that a negation, or a target, reaches.
@@ -78,14 +83,124 @@ _WORD_PART = re.compile(r"[^\W_]")
 INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = range(7)
 
 
+SYMBOLS = range(7)
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A weighted transducer over symbols, as data; state 0 is the start.
+
+    ``arcs[state][symbol]`` holds ``(next state, symbol given, factor)``; none, and the path ends.
+    """
+
+    arcs: tuple
+    final: frozenset[int]
+
+    def best(self, read: list[tuple[int, float]]) -> float:
+        """The heaviest path over ``(symbol, lexical weight)`` pairs that ends in a final state."""
+        paths = {0: 0.0}
+        for symbol, lexical in read:
+            onward: dict[int, float] = {}
+            for state, total in paths.items():
+                for after, _, factor in self.arcs[state][symbol]:
+                    weight = total + factor * lexical
+                    if weight >= onward.get(after, 0.0):
+                        onward[after] = weight
+            paths = onward
+        return max((w for state, w in paths.items() if state in self.final), default=0.0)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """``second`` reads what ``first`` gives; factors multiply. Only pairs that can be reached count."""
+    numbers, pairs, arcs = {(0, 0): 0}, [(0, 0)], []
+    for one, two in pairs:  # grows while it is walked
+        row = []
+        for symbol in SYMBOLS:
+            found = []
+            for after_one, given, f in first.arcs[one][symbol]:
+                for after_two, result, g in second.arcs[two][given]:
+                    pair = after_one, after_two
+                    if pair not in numbers:
+                        numbers[pair] = len(pairs)
+                        pairs.append(pair)
+                    found.append((numbers[pair], result, f * g))
+            row.append(tuple(found))
+        arcs.append(tuple(row))
+    final = frozenset(n for (a, b), n in numbers.items() if a in first.final and b in second.final)
+    return Transducer(tuple(arcs), final)
+
+
+def negation() -> Transducer:
+    """State: how many more tokens the last negation reaches."""
+    arcs = []
+    for left in range(NEGATION_REACH + 1):
+        row = []
+        for symbol in SYMBOLS:
+            after = NEGATION_REACH if symbol == NEGATION else max(0, left - 1)
+            row.append(((after, symbol, NEGATED if left and symbol in (INSULT, THREAT) else 1.0),))
+        arcs.append(tuple(row))
+    return Transducer(tuple(arcs), frozenset(range(NEGATION_REACH + 1)))
+
+
+def speech() -> Transducer:
+    """State: 1 after a word of reporting, and 2 more inside quotation marks."""
+    arcs = []
+    for state in range(4):
+        row = []
+        for symbol in SYMBOLS:
+            after = state | 1 if symbol == REPORT else state ^ 2 if symbol == QUOTE else state
+            row.append(((after, symbol, REPORTED if state and symbol in (INSULT, THREAT) else 1.0),))
+        arcs.append(tuple(row))
+    return Transducer(tuple(arcs), frozenset(range(4)))
+
+
+def address() -> Transducer:
+    """States 0 to ``TARGET_REACH``: how many more tokens the last target reaches. The states above
+    them: a target is promised within so many tokens; they are not final."""
+    reach = TARGET_REACH
+    with_target, alone = {INSULT: TARGETED, THREAT: 1.0}, {INSULT: 1.0, THREAT: 0.0}
+    arcs = []
+    for near in range(reach + 1):
+        row = []
+        for symbol in SYMBOLS:
+            after = reach if symbol == TARGET else max(0, near - 1)
+            if near or symbol not in alone:
+                row.append(((after, symbol, with_target.get(symbol, 1.0)),))
+            else:
+                promise = (2 * reach, symbol, with_target[symbol])
+                row.append(((after, symbol, alone[symbol]), promise))
+        arcs.append(tuple(row))
+    for due in range(1, reach + 1):
+        row = []
+        for symbol in SYMBOLS:
+            if symbol == TARGET:
+                row.append(((reach, symbol, 1.0),))
+            elif due > 1:
+                row.append(((reach + due - 1, symbol, with_target.get(symbol, 1.0)),))
+            else:
+                row.append(())
+        arcs.append(tuple(row))
+    return Transducer(tuple(arcs), frozenset(range(reach + 1)))
+
+
+@cache
+def clause_transducer() -> Transducer:
+    return compose(compose(negation(), speech()), address())
+
+
+def plain(text: str) -> str:
+    """Lower case, with the typewriter's apostrophe; the fit's expression does the same."""
+    return text.lower().replace(APOSTROPHE, "'")
+
+
 @dataclass
 class Grammar:
-    """The composed transducers; ``weigh`` runs a clause through them."""
+    """The word transducer's entries and the curve; ``weigh`` runs a clause through the grammar."""
 
     words: dict[str, float]
     stems: dict[str, float] = field(default_factory=dict)
-    slope: float = 1.5
-    intercept: float = -4.0
+    slope: float = 3.0
+    intercept: float = -13.5
 
     def __post_init__(self):
         self.symbols = {
@@ -109,7 +224,7 @@ class Grammar:
         self.__post_init__()
 
     def symbol(self, token: str) -> tuple[int, float]:
-        """The word transducers: a token's symbol and lexical weight."""
+        """The word transducer: a token's symbol and lexical weight."""
         weight = self.words.get(token, 0.0)
         for n in self.stem_sizes:
             weight = max(weight, self.stems.get(token[:n], 0.0))
@@ -117,41 +232,12 @@ class Grammar:
             return INSULT, weight
         if token in QUOTES:
             return QUOTE, 0.0
-        kind = self.symbols.get(token, OTHER)
+        kind = NEGATION if token.endswith("n't") else self.symbols.get(token, OTHER)
         return kind, THREAT_WEIGHT if kind == THREAT else 0.0
 
     def weigh(self, tokens: list[str]) -> float:
-        """The clause transducer. Its state: what negation and target still reach, whether
-        speech is reported or quoted, and a threat that waits for its target."""
-        negated = near = pending = 0
-        reported = quoted = False
-        total = waiting = plain = 0.0
-        for token in tokens:
-            kind, weight = self.symbol(token)
-            factor = (NEGATED if negated else 1.0) * (REPORTED if reported or quoted else 1.0)
-            if kind == INSULT:
-                total += weight * factor * (TARGETED if near else 1.0)
-                plain += 0.0 if near else weight * factor * (TARGETED - 1)
-                pending = TARGET_REACH + 1
-            elif kind == THREAT:
-                total += weight * factor if near else 0.0
-                waiting += 0.0 if near else weight * factor
-                pending = TARGET_REACH + 1
-            elif kind == TARGET:
-                if pending:
-                    total += waiting + plain
-                    waiting = plain = 0.0
-                near = TARGET_REACH + 1
-            elif kind == NEGATION:
-                negated = NEGATION_REACH + 1
-            elif kind == REPORT:
-                reported = True
-            elif kind == QUOTE:
-                quoted = not quoted
-            negated, near, pending = max(0, negated - 1), max(0, near - 1), max(0, pending - 1)
-            if not pending:
-                waiting = plain = 0.0
-        return total
+        """The weight of one clause's tokens."""
+        return clause_transducer().best([self.symbol(token) for token in tokens])
 
     def clauses(self, text: str) -> list[tuple[int, int]]:
         """Bounds of the clauses that hold a trigger at the start of a word."""
@@ -173,7 +259,7 @@ class Grammar:
 
     def matches(self, text: str | None) -> list[tuple[int, int, float]]:
         """Clauses with a positive weight: begin, end (in the lower-cased text), weight."""
-        low = (text or "").lower()
+        low = plain(text or "")
         weighed = ((a, b, self.weigh(_TOKEN.findall(low[a:b]))) for a, b in self.clauses(low))
         return [x for x in weighed if x[2] > 0]
 
@@ -200,7 +286,7 @@ def fit(
     known = bounded_sample(known, F.col("doc_id"), sample_rows, count)
     rows = docs.select("doc_id", F.col(text).alias("t")).join(known, "doc_id").select("t", "y")
     tokens = F.array_distinct(
-        F.regexp_extract_all(F.lower("t"), F.lit(r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"), F.lit(0))
+        F.regexp_extract_all(F.translate(F.lower("t"), APOSTROPHE, "'"), F.lit(r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"), F.lit(0))
     )
     rows = rows.select("y", tokens.alias("w")).where(F.size("w") > 0)
     rows = rows.select(
