@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaymill.llm.common import append_columns, bounded_sample
+from assaymill.session import materialize
 
 #: Labelled rows that the fit reads at most.
 SAMPLE_ROWS = 12_000
@@ -284,11 +285,13 @@ def fit(
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
     count = known.count()
     known = bounded_sample(known, F.col("doc_id"), sample_rows, count)
-    rows = docs.select("doc_id", F.col(text).alias("t")).join(known, "doc_id").select("t", "y")
+    # Stored: else the expression below would be pushed under the join and read every document.
+    sample = docs.select("doc_id", F.col(text).alias("t")).join(known, "doc_id").select("t", "y")
+    sample = materialize(sample, "toxicity-sample")
     tokens = F.array_distinct(
         F.regexp_extract_all(F.translate(F.lower("t"), APOSTROPHE, "'"), F.lit(r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"), F.lit(0))
     )
-    rows = rows.select("y", tokens.alias("w")).where(F.size("w") > 0)
+    rows = sample.select("y", tokens.alias("w")).where(F.size("w") > 0)
     rows = rows.select(
         "y", "w", F.array_min(F.transform("w", lambda w: F.xxhash64(w))).alias("sketch")
     )
@@ -302,7 +305,6 @@ def fit(
         stems = _shortest({f: w for f, w, stem in learned if stem})
         words = {f: w for f, w in words.items() if not any(f.startswith(s) for s in stems)}
         grammar = Grammar(grammar.words | words, stems)
-    sample = docs.select("doc_id", F.col(text).alias("t")).join(known, "doc_id")
     pairs = with_evidence(sample.select("y", "t"), grammar, "t").select("y", "evidence").toArrow()
     return _calibrated(grammar, np.array(pairs["evidence"]), np.array(pairs["y"], float))
 
