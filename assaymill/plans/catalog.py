@@ -206,7 +206,7 @@ def csv_documents(x: Inputs) -> DataFrame:
     csv, target = x.scratch("documents-csv"), x.scratch("documents")
     broken = F.when(F.col("doc_id") % 17 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     text = F.concat(F.lit('a, "b"\n'), "text")
-    x.table("documents").select(broken.alias("doc_id"), text.alias("text"), "lang").coalesce(2).write.option(
+    x.table("documents").select(broken.alias("doc_id"), text.alias("text"), "lang").write.option(
         "header", True
     ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(csv)
     schema = T.StructType.fromDDL("doc_id bigint, text string, lang string")

@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from assaymill.plans import catalog
 from assaymill.session import scratch_path
 from assaymill.sources import loads
 from assaymill.sources.csv_splits import CORRUPT, csv_records, read_csv_splits
+from assaymill.sources.tables import file_listing
 
 SCHEMA = StructType(
     [StructField("id", LongType()), StructField("text", StringType()), StructField("n", IntegerType())]
@@ -88,3 +90,18 @@ def test_refused_files_and_rejects(spark, small_splits):
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 5]
     empty = put(spark, scratch_path(spark, "csv"), "id,text,n\n", "")
     assert read_csv_splits(spark, empty, SCHEMA).collect() == []
+
+
+def test_documents_become_csv_by_as_many_tasks_as_read_them(spark, monkeypatch):
+    sf, files, load = scratch_path(spark, "sf"), [], loads.load_csv
+    docs = spark.range(1, 41, 1, 6).selectExpr("id AS doc_id", "concat('t', id) AS text", "'en' AS lang")
+    docs.write.parquet(f"{sf}/documents.parquet")
+
+    def counted(spark, csv, *args, **options):
+        files.append(file_listing(spark, csv, "*.csv").count())
+        return load(spark, csv, *args, **options)
+
+    monkeypatch.setattr(loads, "load_csv", counted)
+    got = catalog.run("csv_documents", spark, sf).collect()
+    assert files == [6]
+    assert sorted(r.doc_id for r in got) == [i for i in range(1, 41) if i % 17]
