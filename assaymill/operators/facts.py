@@ -27,6 +27,11 @@ def build_fact_orders(raw: DataFrame) -> DataFrame:
     latest = newest_version(
         require_keys(raw, ["order_id", "customer_id"]), ["order_id"], settle_ties=True
     )
+    return typed_orders(latest)
+
+
+def typed_orders(latest: DataFrame) -> DataFrame:
+    """``build_fact_orders`` of rows that are the latest version of their order already."""
     bought, arrived = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     return cast_timestamp_columns(latest, ORDER_TIMESTAMPS).withColumns(
         {

@@ -123,7 +123,7 @@ def merge_orders(publication: Publication, raw: DataFrame | None, fresh: DataFra
     """``fact_orders`` and its state: from all of ``raw``, or by merging the ``fresh`` rows."""
     if fresh is None:
         state = publication.stage(ORDER_STATE, order_state(raw), MONTH)
-        publication.stage("fact_orders", facts.build_fact_orders(state.drop(*MONTH)), MONTH)
+        publication.stage("fact_orders", facts.typed_orders(state.drop(*MONTH)), MONTH)
         return
 
     def newest(rows: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def merge_orders(publication: Publication, raw: DataFrame | None, fresh: DataFra
     touched = merge_partitions(publication, ORDER_STATE, incoming, ["order_id"], MONTH, newest, moves)
     if touched:
         state = publication.staged(ORDER_STATE, partitions=touched)
-        made = facts.build_fact_orders(state.drop(*MONTH))
+        made = facts.typed_orders(state.drop(*MONTH))
         publication.stage("fact_orders", made, MONTH, "partitions", gone=touched)
 
 

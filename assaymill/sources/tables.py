@@ -72,12 +72,15 @@ def scan_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 @contextmanager
-def _file_sizing(spark: SparkSession, mb: int):
-    """Let AQE size the rebalanced partitions of one write by bytes, not by core count."""
-    wanted = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(mb * MB),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
+def _file_sizing(spark: SparkSession, mb: int, merged: bool = True):
+    """Let AQE cut the rebalanced partitions of one write by bytes; ``merged``: also merge small ones.
+
+    The settings hold for all shuffles of the write's job, not only for the last one. Merging by bytes
+    alone would leave the windows and joins before a write to one task for each ``mb`` of compressed rows.
+    """
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(mb * MB)}
+    if merged:
+        wanted["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -143,7 +146,8 @@ def write_table(
         if mode == "overwrite":
             how = "static" if replace == "table" else "dynamic"
             writer = writer.option("partitionOverwriteMode", how)
-    with _file_sizing(df.sparkSession, target_file_mb):
+    # Rebalanced by its columns, an output partition lies in one task, merged with others or not.
+    with _file_sizing(df.sparkSession, target_file_mb, merged=bool(order) or not partition_cols):
         writer.parquet(path)
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assaymill.operators import validation
+from assaymill.operators.clean import latest_by_key
 from assaymill.plans import jobs
 from assaymill.plans.bronze_views import raw_view
 from assaymill.session import materialize, scratch_path, scratch_scope
@@ -212,3 +213,13 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(FakeSession(), "x")
+
+
+def test_steps_before_a_sized_write_keep_their_tasks(spark, path):
+    df = spark.range(0, 200_000, 1, 16).select(
+        (F.col("id") % 3).alias("month"), "id", F.sha2(F.col("id").cast("string"), 256).alias("pad")
+    )
+    latest = latest_by_key(df, ["id"], [F.col("pad").desc()]).withColumn("task", F.spark_partition_id())
+    tables.write_table(latest, path, ["month"], target_file_mb=128)
+    assert spark.read.parquet(path).select("task").distinct().count() > 1
+    assert _files(spark, path) == 3
