@@ -170,9 +170,12 @@ def weather_projection(df: DataFrame) -> DataFrame:
         "temp_max": "temp_max_celsius",
         "pressure": "pressure_hpa",
     }
+    # As a generator the time is parsed once; as a plain expression it would be copied, with whatever
+    # makes its text, into the filters that are pushed below it.
+    parsed = parse_weather_time("dt_iso", _typed(have, "dt", "bigint"))
     projected = df.select(
         _typed(have, "dt", "int").alias("unix_timestamp"),
-        parse_weather_time("dt_iso", _typed(have, "dt", "bigint")).alias("datetime_utc"),
+        F.inline(F.array(F.struct(parsed.alias("datetime_utc")))),
         "city_name",
         *[_typed(have, raw, "double").alias(name) for raw, name in doubles.items()],
         _typed(have, "humidity", "int").alias("humidity_pct"),
@@ -193,7 +196,8 @@ def highest_reading(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     So a re-run picks the same row, also if readings are reduced in several steps.
     """
     order = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
-    return latest_by_key(df, keys, order)
+    # The time goes first in the sort: it tells rows apart by one number, the station's name hardly does.
+    return latest_by_key(df, keys[::-1], order)
 
 
 def build_weather_enriched(raw: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:

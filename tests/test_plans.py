@@ -128,3 +128,8 @@ def test_aqe_splits_a_skewed_join(spark, silver):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_weather_time_is_made_and_parsed_once(spark, sf_dir):
+    plan = plan_of(Inputs(spark, sf_dir).weather)
+    assert plan.count("date_format(") == 1
