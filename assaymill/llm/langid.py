@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaymill.llm.common import append_columns, chunks, low_hash
+from assaymill.llm.common import append_columns, chunks, give_back_memory, low_hash
 from assaymill.llm.sentencepiece_codec import model_bytes, parse_model
 
 UNKNOWN = "und"
@@ -209,16 +209,22 @@ def fit(
     column = {k: j for j, k in enumerate(labels)}
     for k, w, n in zip(table["label"], table["w"], table["count"]):
         weight[place[w], column[k]] += n
-    return _expectation_maximisation(labels, pieces, [MARK + w for w in place], weight, iterations)
+    words = [MARK + w for w in place]
+    del table, place
+    model = _expectation_maximisation(labels, pieces, words, weight, iterations)
+    del words, weight
+    give_back_memory()  # the driver goes on with other work
+    return model
 
 
 def _expectation_maximisation(labels, pieces, words, weight, iterations) -> Model:
     size = len(pieces.pieces)
     probs = np.vstack([np.full((size, len(labels)), 1 / max(1, size)), np.zeros((1, len(labels)))])
-    blocks = [(block, pieces.lookup(codes), codes.shape) for block, codes in _by_length(words)]
     for _ in range(iterations):
         expected = np.zeros((size, len(labels)))
-        for block, ids, (m, n) in blocks:
+        # Looked up anew each time: the places of all words' pieces are much larger than the words.
+        for block, codes in _by_length(words):
+            ids, (m, n) = pieces.lookup(codes), codes.shape
             alpha, beta = _forward(ids, probs, n, m), _backward(ids, probs, n, m)
             scale = weight[block] / np.maximum(alpha[-1], 1e-300)
             for length, piece in enumerate(ids, 1):
