@@ -1,16 +1,17 @@
 """Main text of web pages: page structure, and differencing against nearest-URL pages.
 
 A page is cut into text blocks. Blocks inside menus, headers, footers, sidebars, notices,
-adverts, forms, comments and the like are dropped by element, role and class. Where a page marks
-its main content (``article``, ``main``), the rest of it is the text. Where it doesn't, the page
+adverts, forms, comments and the like are frame by element, role and class. Every page
 is paired with the page of the nearest URL on its host: the one with the longest common
-path of directories, the smallest page id among those, copies of the page left out. The two
-pages' lines are aligned by longest common subsequence, and the shared lines, which are the site's
-frame, are deleted, unless that were the whole page.
+path of directories, the smallest page id among those, copies of the page left out. Pages that
+mark their main content (``article``, ``main``) are paired with such pages, the others with others,
+or with marked pages where there are none. The two pages' lines are aligned by longest common subsequence, and
+the shared lines, which are the site's frame, are deleted, unless that were the whole text.
 
-Differencing alone can't give right results where articles repeat on a host, as it deletes
-every shared paragraph of theirs and keeps menus that differ; so marked content is left alone
-(see the README for figures).
+What is deleted is checked against the structure of both pages. Differencing alone can't give right
+results where articles repeat on a host, as it deletes every shared paragraph of theirs and keeps
+menus that differ (see the README for figures). So a line of marked content stays unless the other
+page has it outside its own marked content and frames, and what lies outside goes, shared or not.
 
 A NULL html gives the empty text. Pages without a usable URL pair among themselves. Rows with
 equal lines or with a common id are no partners for each other; pages without an id come last.
@@ -22,6 +23,7 @@ import html as entities
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -66,6 +68,9 @@ HOLDERS = {
 }
 FRAME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 
+#: What a line is by its page's structure. On a page that marks no main content, loose lines are the text.
+FRAME, LOOSE, MARKED = range(3)
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -146,14 +151,22 @@ def closed_at(page: str) -> dict[int, int]:
 def blocks(page: str | None) -> tuple[list[str], bool]:
     """The text blocks outside the page's frame, and whether they are marked main content.
 
+    Marked content without any text counts as not marked.
+    """
+    found = lines(page)
+    marked = [text for text, kind in found if kind == MARKED]
+    return (marked, True) if marked else ([text for text, kind in found if kind == LOOSE], False)
+
+
+def lines(page: str | None) -> list[tuple[str, int]]:
+    """The text blocks of the whole page in its order, each with its kind.
+
     A frame element goes with all it holds, up to its closing tag. One that is never closed ends
-    where main content begins or ends. An article inside an article is a reader's comment. Marked
-    content without any text counts as not marked.
+    where main content begins or ends. An article inside an article is a reader's comment.
     """
     page = page or ""
     ends = closed_at(page)
-    every: list[str] = []
-    marked: list[str] = []
+    found: list[tuple[str, int]] = []
     parts: list[str] = []
     frame: str | None = None  # the element that is being dropped, and depth: of its own kind
     depth = inner = 0  # inner: elements inside it that are named like the open main content
@@ -163,9 +176,7 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            every.append(text)
-            if mains:
-                marked.append(text)
+            found.append((text, FRAME if frame is not None else MARKED if mains else LOOSE))
 
     at = 0
     size = len(page)
@@ -174,11 +185,10 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
         tag = _TAG.match(page, begin) if begin >= 0 else None
         if begin < 0 or not tag:
             stop = size if begin < 0 else begin + 1
-            if frame is None:
-                parts.append(page[at:stop])
+            parts.append(page[at:stop])
             at = stop
             continue
-        if frame is None and begin > at:
+        if begin > at:
             parts.append(page[at:begin])
         at = tag.end()
         if tag[2] is None:
@@ -196,16 +206,20 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
         comment = name == "article" and "article" in mains
         is_main = is_main and not comment
         if frame is not None:
+            if name not in INLINE:
+                end_block()
             if is_main and depth and frame not in ("template",) and not mains:
                 frame = None  # an element of the frame was never closed
             else:
                 if name == frame and not attributes.endswith("/"):
                     depth += -1 if closing else 1
                     if not depth:
+                        end_block()
                         frame = None
                 elif mains and name == mains[-1] and (inner or not closing):
                     inner += -1 if closing else 1
                 elif closing and name in ("body", "html", *mains[-1:]):
+                    end_block()
                     frame = None
                 if frame is not None or not closing or name not in mains:
                     continue
@@ -221,15 +235,50 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
         ):
             end_block()
             if begin in ends:
+                found += [(text, FRAME) for text in _plain_lines(page, at, ends[begin])]
                 at = ends[begin]
             else:
                 frame, depth, inner = name, 1, 0
     end_block()
-    return (marked, True) if marked else (every, False)
+    return found
+
+
+def _plain_lines(page: str, at: int, end: int) -> list[str]:
+    """The text blocks between two places, whatever elements they stand in."""
+    out: list[str] = []
+    parts: list[str] = []
+
+    def end_block() -> None:
+        text = " ".join(entities.unescape("".join(parts)).split())
+        parts.clear()
+        if text:
+            out.append(text)
+
+    while at < end:
+        begin = page.find("<", at, end)
+        if begin < 0:
+            parts.append(page[at:end])
+            break
+        tag = _TAG.match(page, begin, end)
+        parts.append(page[at : begin if tag else begin + 1])
+        at = tag.end() if tag else begin + 1
+        if tag and tag[2] is not None:
+            name = tag[2].lower()
+            if tag[1] != "/" and name in RAW:
+                at = _raw_end(page, name, at)
+            elif name not in INLINE:
+                end_block()
+    end_block()
+    return out
 
 
 def shared_lines(own: list[int], other: list[int]) -> set[int]:
-    """Places in ``own`` on one longest common subsequence with ``other``.
+    """Places in ``own`` on one longest common subsequence with ``other``."""
+    return set(aligned_lines(own, other))
+
+
+def aligned_lines(own: list[int], other: list[int]) -> dict[int, int]:
+    """Places in ``own`` on one longest common subsequence with ``other``, each with its place there.
 
     Bit-parallel: a zero bit ``j`` in a row means that the length grows at column ``j``. Every
     ``n``-th row is kept, ``n`` being the root of their number, and the rows between two of them are
@@ -254,7 +303,7 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
         if i % step == 0:
             kept.append(row)
         row = after(row, x)
-    out = set()
+    out = {}
     j = len(other)
     for k in range(len(kept) - 1, -1, -1):
         first = k * step
@@ -265,7 +314,7 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
         while i and j:
             if own[first + i - 1] == other[j - 1]:
                 i, j = i - 1, j - 1
-                out.add(first + i)
+                out[first + i] = j
             elif rows[i] >> (j - 1) & 1:
                 j -= 1
             else:
@@ -273,21 +322,44 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
     return out
 
 
-def line_hash(line: str) -> int:
+def line_hash(line: str | bytes) -> int:
     return xxhash.xxh64_intdigest(line) - (1 << 63)
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    fields = [T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("marked", T.BooleanType())]
+    """Per page the hashes and kinds of its lines, and ``text``, a hash of those that are its text.
+
+    Of a page that marks no main content the frames by structure are left out: nothing else is known
+    of its lines, and what they share with the other page is all frame.
+    """
+    fields = [
+        T.StructField("hashes", T.ArrayType(T.LongType())),
+        T.StructField("kinds", T.BinaryType()),
+        T.StructField("marked", T.BooleanType()),
+        T.StructField("text", T.LongType()),
+    ]
 
     def start():
         def step(htmls):
-            done = [blocks(h.as_py()) for h in htmls]
-            return [pa.array([d[0] for d in done], pa.list_(pa.string())), pa.array([d[1] for d in done], pa.bool_())]
+            rows = []
+            for html in htmls:
+                found, marked = _sequence(html.as_py())
+                hashes = np.array([line_hash(text) for text, _ in found], np.int64)
+                kinds = np.array([kind for _, kind in found], np.uint8)
+                own = hashes[kinds == (MARKED if marked else LOOSE)]
+                rows.append((hashes, kinds.tobytes(), marked, line_hash(own.tobytes())))
+            return [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.list_(pa.int64()), pa.binary(), pa.bool_(), pa.int64()))]
 
         return step
 
-    return append_columns(pages, ["html"], fields, start).select("page_id", "url", "lines", "marked")
+    return append_columns(pages, ["html"], fields, start)
+
+
+def _sequence(html: str | None) -> tuple[list[tuple[str, int]], bool]:
+    """The lines that are aligned, and whether the page marks main content."""
+    found = lines(html)
+    marked = any(kind == MARKED for _, kind in found)
+    return (found if marked else [x for x in found if x[1] == LOOSE]), marked
 
 
 def _others(page: str, id_of: str, lines_of: str) -> Column:
@@ -296,20 +368,19 @@ def _others(page: str, id_of: str, lines_of: str) -> Column:
     return ~same_id & (F.col(f"{page}.hash") != F.col(f"{lines_of}.hash"))
 
 
-def _differenced(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url`` and text of pages without marked content, less the shared lines.
-
-    ``row`` tells the rows apart; it is written with them and so stays the same.
-    """
+def _deleted(pages: DataFrame) -> DataFrame:
+    """``key`` and ``gone``: the pages whose text loses lines to differencing, and their places."""
     place = F.split(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://|[?#].*$", ""), "/")
     # Every directory above a page, from the host on; the last segment is the page's own name.
     levels = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("path") - 1, F.lit(1))),
         lambda n: F.struct(n.alias("deep"), F.array_join(F.slice("path", 1, n), "/").alias("folder")),
     )
-    own = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), F.xxhash64("lines").alias("hash"))
-    filed = pages.select("row", own.alias("own"), "lines", place.alias("path")).withColumn("l", F.explode(levels))
-    filed = filed.select("row", "own", "lines", "l.deep", "l.folder")
+    own = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), F.col("text").alias("hash"))
+    filed = pages.select("key", own.alias("own"), "marked", "hashes", "kinds", place.alias("path"))
+    filed = filed.withColumn("l", F.explode(levels)).select(
+        "key", "own", "marked", F.struct("hashes", "kinds").alias("lines"), "l.deep", F.struct("marked", "l.folder").alias("folder")
+    )
     smallest = F.min_by(F.struct("own", "lines"), "own")
     # Four pages of a folder hold a partner for each of its pages: the first; the first that may be
     # its partner; and the first partners of pages with the id of one and the lines of the other.
@@ -325,37 +396,64 @@ def _differenced(pages: DataFrame) -> DataFrame:
     )
     four = two.join(third, "folder", "left")
     partner = F.coalesce(*[F.when(_others("own", f"{n}.own", f"{n}.own"), F.col(f"{n}.lines")) for n in "abcd"])
+    # Pages without marked content look at the folders of marked pages too, and take those last.
+    own_kind = filed.select("key", "own", "deep", "folder", F.lit(True).alias("like"))
+    marked = F.struct(F.lit(True).alias("marked"), "folder.folder").alias("folder")
+    asked = own_kind.unionByName(filed.where("NOT marked").select("key", "own", "deep", marked, F.lit(False).alias("like")))
     found = (
-        filed.select("row", "own", "deep", "folder")
-        .join(four, "folder")
-        .select("row", "deep", partner.alias("other"))
+        asked.join(four, "folder")
+        .select("key", "like", "deep", partner.alias("other"))
         .where(F.col("other").isNotNull())
-        .groupBy("row")
-        .agg(F.max_by("other", "deep").alias("other"))
+        .groupBy("key")
+        .agg(F.max_by("other", F.struct("like", "deep")).alias("other"))
+    )
+    paired = pages.select("key", "hashes", "kinds", "marked").join(found, "key")
+    paired = paired.select("key", "hashes", "kinds", "marked", "other.hashes", "other.kinds").toDF(
+        "key", "hashes", "kinds", "marked", "other", "other_kinds"
     )
-    paired = pages.join(found, "row", "left").select("page_id", "url", "lines", "other")
 
     def start():
-        def step(lines, others):
+        def step(hashes, kinds, marked, others, other_kinds):
             out = []
-            for own, other in zip(lines.to_pylist(), others.to_pylist()):
-                gone = shared_lines(list(map(line_hash, own)), list(map(line_hash, other or [])))
-                gone = gone if len(gone) < len(own) else ()  # no page is all frame
-                out.append(" ".join(x for i, x in enumerate(own) if i not in gone))
-            return [pa.array(out, pa.string())]
+            for own, kind, is_marked, other, its in zip(*(x.to_pylist() for x in (hashes, kinds, marked, others, other_kinds))):
+                text = MARKED if is_marked else LOOSE
+                gone = [i for i, j in aligned_lines(own, other).items() if kind[i] == text and its[j] == LOOSE]
+                # What an unmarked page shares with a marked one may be text on either.
+                if is_marked and MARKED not in its or len(gone) == kind.count(text):  # no page is all frame
+                    gone = []
+                out.append(sorted(gone))
+            return [pa.array(out, pa.list_(pa.int32()))]
 
         return step
 
-    return append_columns(paired, ["lines", "other"], [T.StructField("text", T.StringType())], start).select(
-        "page_id", "url", "text"
-    )
+    gone = T.StructField("gone", T.ArrayType(T.IntegerType()))
+    made = append_columns(paired, ["hashes", "kinds", "marked", "other", "other_kinds"], [gone], start)
+    return made.where(F.size("gone") > 0).select("key", "gone").dropDuplicates(["key"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of each row of ``pages``."""
-    parsed = materialize(_parsed(pages.select("page_id", "url", "html")), "page-lines")
-    marked = parsed.where("marked").select("page_id", "url", F.array_join("lines", " ").alias("text"))
-    rest = parsed.where("NOT marked").select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "lines")
-    unmarked = materialize(rest, "page-unmarked")
-    text = marked.unionByName(_differenced(unmarked))
-    return text.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of each row of ``pages``.
+
+    Pages are differenced by hashes of their lines. Only pages that lose lines are joined with
+    them, and the pages are cut into lines once more for their text, which is never shuffled where
+    those are few. Equal rows have one ``key``, a 64-bit hash.
+    """
+    keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"))
+    parsed = materialize(_parsed(keyed).drop("html"), "page-lines")
+    gone = materialize(_deleted(parsed), "page-deleted")
+    both = keyed.join(gone, "key", "left").drop("key")
+
+    def start():
+        def step(htmls, deleted):
+            out = []
+            for html, gone in zip(htmls, deleted):
+                found, marked = _sequence(html.as_py())
+                gone = set(gone.as_py() or ())
+                text = MARKED if marked else LOOSE
+                out.append(" ".join(x for i, (x, kind) in enumerate(found) if kind == text and i not in gone))
+            return [pa.array(out, pa.string())]
+
+        return step
+
+    text = append_columns(both, ["html", "gone"], [T.StructField("text", T.StringType())], start)
+    return text.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
